@@ -1,0 +1,187 @@
+"""Seed rows and change batches, generated where they are used.
+
+Every value is a function of (seed, row number), so a rerun or a recomputed
+partition gives the same rows and no driver loop is involved.
+"""
+
+from __future__ import annotations
+
+import math
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from changeflow.functions.ids import choose, digest_int, uniform
+from changeflow.operators.changes import max_key
+from changeflow.sources.tablelog import TableLog
+
+# Fixed values of the accounts table.
+STATUS = ["active", "blocked", "closed"]
+TIER = ["bronze", "silver", "gold"]
+REGIONS = [
+    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
+    "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
+]
+
+MIX = {"insert": 0.15, "update": 0.75, "delete": 0.10}
+ATTEMPTS = 64
+BLOCK = 65_536
+
+
+def seed_accounts(ids: DataFrame, now: Column, seed: str = "seed") -> DataFrame:
+    """One random account per `account_id`: version 0, balance in [0, 10000]."""
+    key = F.col("account_id")
+    cents = digest_int(seed, "balance", key) % 1_000_001
+    return ids.select(
+        key,
+        choose(STATUS, seed, "status", key).alias("status"),
+        choose(TIER, seed, "tier", key).alias("tier"),
+        choose(REGIONS, seed, "region", key).alias("region"),
+        (cents / 100.0).alias("balance"),
+        F.lit(0).cast("bigint").alias("version"),
+        now.cast("timestamp").alias("updated_at"),
+    )
+
+
+def seed_if_empty(log: TableLog, rows: int, now: datetime, seed: str = "seed") -> bool:
+    """Fill a new table with ids `0..rows-1`; a table with any row is left alone."""
+    if not log.read().isEmpty():
+        return False
+    ids = log.spark.range(0, rows).withColumnRenamed("id", "account_id")
+    log.append(seed_accounts(ids, F.lit(now), seed), now)
+    check_count(log.read(), rows)
+    return True
+
+
+def count_check(rows: DataFrame, expected: int | Column) -> DataFrame:
+    n = F.count(F.lit(1))
+    return rows.agg(n.alias("n"), (n == expected).alias("ok"))
+
+
+def check_count(rows: DataFrame, expected: int) -> None:
+    got = count_check(rows, expected).first()
+    if not got["ok"]:
+        raise RuntimeError(f"expected {expected} rows, found {got['n']}")
+
+
+def zipf_key(max_id: int, s: float, *parts: Column) -> Column:
+    """A key in [0, max_id] with P(key) proportional to (key + 1)^-s.
+
+    Rejection-inversion sampling (Hörmann and Derflinger, 1996). Each attempt
+    takes a fresh uniform from the hashed parts; the first accepted one counts.
+    An attempt fails with a probability well under one half, so running out of
+    them does not happen in practice; the last candidate would then be used.
+    """
+    n = max_id + 1
+
+    def area(x: float) -> float:
+        return math.log(x) if s == 1.0 else (x ** (1.0 - s) - 1.0) / (1.0 - s)
+
+    def area_of(x: Column) -> Column:
+        return F.log(x) if s == 1.0 else (F.pow(x, F.lit(1.0 - s)) - 1.0) / (1.0 - s)
+
+    def inverse(a: Column) -> Column:
+        return F.exp(a) if s == 1.0 else F.pow(a * (1.0 - s) + 1.0, F.lit(1.0 / (1.0 - s)))
+
+    low, high = area(1.5) - 1.0, area(n + 0.5)
+    # Inverse of `area` at area(2.5) - 2^-s, in plain floats.
+    edge = area(2.5) - 2.0**-s
+    edge = math.exp(edge) if s == 1.0 else (edge * (1.0 - s) + 1.0) ** (1.0 / (1.0 - s))
+    sure = 2.0 - edge
+
+    def attempt(i: Column) -> Column:
+        u = F.lit(high) + uniform(*parts, i) * (low - high)
+        x = inverse(u)
+        k = F.least(F.greatest(F.floor(x + 0.5), F.lit(1)), F.lit(n))
+        accepted = (k - x <= sure) | (u >= area_of(k + 0.5) - F.pow(k.cast("double"), F.lit(-s)))
+        return F.when(accepted | (i == ATTEMPTS), k)
+
+    picked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(ATTEMPTS)),
+        F.lit(None).cast("bigint"),
+        lambda found, i: F.coalesce(found, attempt(i)),
+    )
+    return picked - 1
+
+
+def skewed_keys(spark: SparkSession, n: int, max_id: int, s: float = 1.1, seed: int = 0) -> DataFrame:
+    """`n` Zipf-distributed keys; the hottest is 0."""
+    seq = spark.range(0, n).withColumnRenamed("id", "seq")
+    return seq.select("seq", zipf_key(max_id, s, F.lit(seed), F.col("seq")).alias("account_id"))
+
+
+def change_batch(
+    spark: SparkSession,
+    max_id: int,
+    round_no: int,
+    now: Column,
+    n: int = 5000,
+    mix: dict[str, float] = MIX,
+    s: float = 1.1,
+) -> DataFrame:
+    """Raw operations of a round, one per `seq`, keys possibly repeated.
+
+    Inserts take consecutive ids above `max_id`, in order of `seq`; updates hit
+    Zipf-distributed keys; deletes are uniform, since deleting along the skew
+    would soon leave no hot key alive.
+    """
+    if abs(sum(mix.values()) - 1.0) >= 1e-9:
+        raise ValueError("the operation mix must sum to 1")
+    seq, rnd = F.col("seq"), F.lit(round_no)
+    u = uniform(F.lit("op"), rnd, seq)
+    ops = spark.range(0, n).select(
+        F.col("id").alias("seq"),
+        F.when(u < mix["insert"], "insert")
+        .when(u < mix["insert"] + mix["update"], "update")
+        .otherwise("delete")
+        .alias("op"),
+        F.floor(F.col("id") / BLOCK).alias("block"),
+    )
+    # Consecutive insert ids: offset of the block plus rank inside it. The only
+    # unpartitioned window runs over one row per block of 65,536 operations.
+    is_insert = F.col("op") == "insert"
+    per_block = ops.groupBy("block").agg(F.count_if(is_insert).alias("inserts"))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select("block", F.coalesce(F.sum("inserts").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.count_if(is_insert).over(inside)
+    ranked = ops.withColumn("rank", rank).join(offsets, "block")
+    key = (
+        F.when(F.col("op") == "insert", F.lit(max_id) + F.col("offset") + F.col("rank"))
+        .when(F.col("op") == "update", zipf_key(max_id, s, F.lit("key"), rnd, seq))
+        .otherwise(F.floor(uniform(F.lit("del"), rnd, seq) * (max_id + 1)))
+    )
+    tag = f"round-{round_no}"
+    return ranked.select(
+        "seq",
+        key.cast("bigint").alias("account_id"),
+        "op",
+        choose(STATUS, tag, "status", seq).alias("status"),
+        choose(TIER, tag, "tier", seq).alias("tier"),
+        choose(REGIONS, tag, "region", seq).alias("region"),
+        (digest_int(tag, "balance", seq) % 1_000_001 / 100.0).alias("balance"),
+        now.cast("timestamp").alias("updated_at"),
+    )
+
+
+def next_max_id(batch: DataFrame, max_id: int) -> int:
+    """The last insert id of a batch, or `max_id` if it inserts nothing."""
+    return batch.filter("op = 'insert'").agg(
+        F.coalesce(F.max("account_id"), F.lit(max_id)).alias("m")
+    ).first()["m"]
+
+
+def run_rounds(log: TableLog, rounds: list[tuple[int, datetime]], n: int = 5000, **options) -> list[dict]:
+    """Generate and commit a bounded list of rounds. Single writer, in order."""
+    from changeflow.operators.changes import last_op_per_key
+
+    top = max_key(log.read(), log.key).first()["m"]
+    done = []
+    for round_no, now in rounds:
+        batch = change_batch(log.spark, top, round_no, F.lit(now), n, **options)
+        version, mix = log.merge(last_op_per_key(batch), now)
+        top = next_max_id(batch, top)
+        done.append({"round": round_no, "version": version, **mix})
+    return done

@@ -1,0 +1,242 @@
+"""A keyed table kept as a log of commits on plain Parquet.
+
+Layout under the table's root::
+
+    properties/             one row: declared schema and properties
+    commits/                one row (and one file) per commit, written last
+    log/<version>/<run>/    change rows of that commit
+    state/<version>/<run>/  whole table at a compaction
+    floor/                  oldest version still readable, one row per vacuum
+
+A commit writes its data under a path no other run uses and then appends its
+row to `commits`. Readers open only paths that `commits` names, so data left by
+a crashed or repeated run is never seen. There is one writer per table; a second
+one is noticed (its version is taken) but not locked out.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from changeflow.operators import changes as ch
+from changeflow.session import delete_path, path_exists
+
+COMMITS = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("changes", T.StringType()),
+        T.StructField("state", T.StringType()),
+        # Newest version up to this one that has a whole state.
+        T.StructField("base", T.LongType()),
+    ]
+)
+
+PROPERTIES = {
+    "changeFeed": "true",
+    "logRetention": "interval 1 days",
+    "deletedFileRetention": "interval 6 hours",
+}
+
+
+class RetentionError(RuntimeError):
+    """A reader asked for versions whose data has been vacuumed."""
+
+
+class TableLog:
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType = ch.ACCOUNTS, key: str = ch.KEY
+    ):
+        self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
+        self.change_schema = T.StructType(
+            schema.fields + [f for f in ch.CHANGES.fields if f.name.startswith("_")]
+        )
+
+    # -- declaration -------------------------------------------------------
+
+    def create(self, properties: dict[str, str] | None = None) -> bool:
+        """Declare the table unless it exists. Its root is its identity."""
+        if path_exists(self.spark, f"{self.root}/properties"):
+            return False
+        row = (self.schema.json(), json.dumps(properties or PROPERTIES))
+        self.spark.createDataFrame([row], "schema string, properties string").coalesce(1).write.parquet(
+            f"{self.root}/properties"
+        )
+        return True
+
+    def properties(self) -> dict[str, str]:
+        row = self.spark.read.parquet(f"{self.root}/properties").first()
+        return json.loads(row["properties"])
+
+    # -- history -----------------------------------------------------------
+
+    def commits(self) -> DataFrame:
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], COMMITS)
+        return self.spark.read.schema(COMMITS).parquet(path)
+
+    def head(self) -> Row | None:
+        """The newest commit."""
+        return self.commits().orderBy(F.desc("version")).limit(1).first()
+
+    def floor(self) -> int:
+        """Oldest readable version; its change rows, and all before, are gone."""
+        path = f"{self.root}/floor"
+        if not path_exists(self.spark, path):
+            return -1
+        return self.spark.read.schema("version bigint").parquet(path).agg(F.max("version")).first()[0]
+
+    def _record(
+        self, version: int, now: datetime, operation: str, changes: str | None, state: str | None, base: int
+    ) -> None:
+        head = self.head()
+        if head is not None and head["version"] >= version:
+            raise RuntimeError(f"version {version} of {self.root} is already committed")
+        row = (version, now, operation, changes, state, base)
+        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/commits"
+        )
+
+    def _data_path(self, kind: str, version: int) -> str:
+        return f"{self.root}/{kind}/{version:012d}/{uuid.uuid4().hex}"
+
+    # -- writes ------------------------------------------------------------
+
+    def append(self, rows: DataFrame, now: datetime) -> int:
+        """Add rows with new keys. The first append doubles as a whole state."""
+        head = self.head()
+        version = 0 if head is None else head["version"] + 1
+        path = self._data_path("log", version)
+        ch.as_inserts(rows.select(*self.schema.fieldNames()), version, F.lit(now)).write.parquet(path)
+        if head is None:
+            self._record(version, now, "WRITE", path, path, version)
+        else:
+            self._record(version, now, "WRITE", path, None, head["base"])
+        return version
+
+    def merge(self, ops: DataFrame, now: datetime) -> tuple[int, dict[str, int]]:
+        """Apply one batch: one merge, one version. Returns it and the realised mix.
+
+        The batch is cached: counting the mix fills the cache and gives Spark
+        the exact size from which it decides whether to broadcast the batch.
+        """
+        head = self.head()
+        if head is None:
+            raise RuntimeError(f"{self.root} holds no data yet")
+        version = head["version"] + 1
+        ops = ops.persist()
+        try:
+            mix = {r["op"]: r["n"] for r in ch.op_mix(ops).collect()}
+            path = self._data_path("log", version)
+            ch.merge_changes(self._state_at(head), ops, version, F.lit(now), self.key).write.parquet(path)
+        finally:
+            ops.unpersist()
+        self._record(version, now, "MERGE", path, None, head["base"])
+        return version, mix
+
+    # -- reads -------------------------------------------------------------
+
+    def _paths(self, at: Row) -> tuple[str, list[str]]:
+        """The last whole state up to a commit, and the change rows after it.
+
+        Bounded by the number of commits between two compactions.
+        """
+        span = self.commits().filter(F.col("version").between(at["base"], at["version"])).collect()
+        base = next(c["state"] for c in span if c["version"] == at["base"])
+        return base, [c["changes"] for c in span if c["version"] > at["base"] and c["changes"]]
+
+    def _state_at(self, commit: Row) -> DataFrame:
+        base, later = self._paths(commit)
+        state = self.spark.read.schema(self.schema).parquet(base)
+        if not later:
+            return state
+        return ch.apply_changes(state, self._read_changes(later), self.key)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table now, or as of a version.
+
+        Starts from the last whole state and lays the few commits after it over
+        that, so the cost does not grow with the age of the table.
+        """
+        if version is None:
+            commit = self.head()
+        else:
+            if version < self.floor():
+                raise RetentionError(f"version {version} of {self.root} is no longer readable")
+            commit = self.commits().filter(F.col("version") == version).first()
+            if commit is None:
+                raise ValueError(f"{self.root} has no version {version}")
+        return self.spark.createDataFrame([], self.schema) if commit is None else self._state_at(commit)
+
+    def _read_changes(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.change_schema)
+        return self.spark.read.schema(self.change_schema).parquet(*paths)
+
+    def changes(self, first: int = 0, last: int | None = None) -> DataFrame:
+        """Change rows of the versions `first..last`. Vacuumed ones are an error."""
+        if first <= self.floor():
+            raise RetentionError(f"changes of {self.root} from version {first} on are no longer readable")
+        commits = self.commits().filter(F.col("changes").isNotNull() & (F.col("version") >= first))
+        if last is not None:
+            commits = commits.filter(F.col("version") <= last)
+        return self._read_changes([r["changes"] for r in commits.select("changes").collect()])
+
+    def detail(self) -> DataFrame:
+        """Number and size of the files a read of the current table opens."""
+        base, later = self._paths(self.head())
+        files = self.spark.read.format("binaryFile").load([base, *later]).select("path", "length")
+        return files.agg(
+            F.count(F.lit(1)).alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes")
+        )
+
+    # -- maintenance -------------------------------------------------------
+
+    def compact(self, now: datetime) -> int:
+        """Rewrite the table as one state, ordered by key. No row changes.
+
+        Range partitioning gives each file a narrow key range, so later reads
+        for a range of keys skip files by their statistics.
+        """
+        head = self.head()
+        version = head["version"] + 1
+        path = self._data_path("state", version)
+        self._state_at(head).repartitionByRange(F.col(self.key)).sortWithinPartitions(self.key).write.parquet(path)
+        self._record(version, now, "OPTIMIZE", None, path, version)
+        return version
+
+    def vacuum(self, now: datetime, retain_hours: float) -> int:
+        """Delete data that no read inside the retention window needs.
+
+        Everything before the last whole state that is already older than the
+        window goes. Returns the floor: older versions raise from then on.
+        """
+        cutoff = F.lit(now) - F.make_dt_interval(secs=F.lit(float(retain_hours * 3600)))
+        commits = self.commits()
+        base = (
+            commits.filter(F.col("state").isNotNull() & (F.col("timestamp") <= cutoff))
+            .orderBy(F.desc("version"))
+            .limit(1)
+            .first()
+        )
+        floor = self.floor()
+        if base is None or base["version"] <= max(floor, 0):
+            return floor
+        # The floor is recorded first: after a crash, half-deleted versions
+        # are already refused.
+        self.spark.createDataFrame([(base["version"],)], "version bigint").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.root}/floor")
+        gone = commits.filter((F.col("version") > floor) & (F.col("version") <= base["version"]))
+        for row in gone.select("version", "changes", "state").toLocalIterator():
+            for path in {row["changes"], row["state"]} - {None, base["state"]}:
+                delete_path(self.spark, path)
+        return base["version"]
