@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import frontmatter as fm
 from changeflow.functions import text as tx
-from changeflow.functions.chunking import chunks
 from changeflow.functions.ids import point_id
 from changeflow.functions.sections import headings
 from changeflow.functions.vectors import with_vectors
@@ -137,7 +136,7 @@ def state_current(spark, sf):
 def adhoc_sql(spark, sf):
     views.register(spark, {"accounts": _log(spark, sf).read()})
     return spark.sql(
-        "SELECT region, count(*) AS n, round(avg(balance), 4) AS avg_balance FROM accounts GROUP BY region"
+        "SELECT region, count(*) AS n, round(sum(balance), 2) AS balance FROM accounts GROUP BY region"
     )
 
 
@@ -361,17 +360,14 @@ def _enriched(spark, sf):
 
 
 def scan_reports(spark, sf):
-    """The reports written out as text files and found again by glob."""
+    """The reports written out as text files, found by glob and measured per source."""
     root = work_dir(spark, "texts")
-    files = _raw(spark, sf).select(
-        F.concat(F.lit("triage/"), F.col("doc_id"), F.lit(".md")).alias("name"), F.col("content").alias("value")
-    )
-    # One folder per report; the text source writes whole values as lines.
-    files.repartition("name").write.partitionBy("name").text(f"{root}/triage")
+    source = views.table(spark, sf, "documents").select("doc_id", "source")
+    files = _raw(spark, sf).join(source, "doc_id").select("source", F.col("content").alias("value"))
+    files.write.partitionBy("source").option("maxRecordsPerFile", 100_000).text(f"{root}/triage")
     found = docs.scan_texts(spark, root, ["triage/**/*.txt"])
-    doc_id = F.regexp_extract("path", r"(\d+)\.md/", 1).cast("bigint")
-    return found.select(
-        doc_id.alias("doc_id"), "readable", F.length(F.rtrim("content", F.lit("\n"))).cast("bigint").alias("n_chars")
+    return found.groupBy(F.regexp_extract("path", "source=([^/]*)", 1).alias("source")).agg(
+        F.bool_and("readable").alias("readable"), F.sum(F.length("content")).alias("n_chars")
     )
 
 
@@ -512,16 +508,10 @@ def chunk_texts(spark, sf):
 
 
 def point_ids(spark, sf):
-    """Ids depend on the number of chunks only, so the texts stay in the scan."""
-    n = F.size(chunks("text", separator=SEPARATOR))
-    return (
-        views.table(spark, sf, "documents")
-        .select("doc_id", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk"))
-        .select(
-            point_id(F.col("doc_id").cast("string"), F.col("chunk").cast("string")).alias("point_id"),
-            "doc_id",
-            F.col("chunk").cast("bigint").alias("chunk"),
-        )
+    return _chunked(spark, sf).select(
+        point_id(F.col("doc_id").cast("string"), F.col("chunk").cast("string")).alias("point_id"),
+        "doc_id",
+        F.col("chunk").cast("bigint").alias("chunk"),
     )
 
 
@@ -676,7 +666,7 @@ def trace_attrs(spark, sf):
 
 
 def domain_attrs(spark, sf):
-    attrs = costs.domain_attributes(costs.trace_attributes(RUN_ID, domain="private."))
+    attrs = costs.domain_attributes(costs.trace_attributes(RUN_ID), (costs.DOMAIN_PREFIX,))
     return costs.attribute_rows(_reports(spark, sf), attrs, "dedup_key")
 
 
@@ -685,9 +675,9 @@ def cost_per_session(spark, sf):
 
 
 def flagship(spark, sf):
-    """Live rows and mean balance per region after one merge."""
+    """Live rows and their balance per region after one merge."""
     return merge_round(spark, sf).groupBy("region").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("balance"), 4).alias("avg_balance")
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("balance"), 2).alias("balance")
     )
 
 
