@@ -36,7 +36,6 @@ RULE = "---"
 ITEM = "- "
 
 _ENTRY = "struct<key:string,is_list:boolean,vals:array<string>>"
-_NO_LINES = F.array().cast("array<string>")
 
 
 def _entry(chunk: Column) -> Column:
@@ -51,7 +50,7 @@ def _entry(chunk: Column) -> Column:
         def with_value(value: Column) -> Column:
             vals = (
                 F.when(value == "", items)
-                .when(value == "[]", _NO_LINES)
+                .when(value == "[]", F.array().cast("array<string>"))
                 .otherwise(F.array(unquote(value)))
             )
             return F.struct(

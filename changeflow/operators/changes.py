@@ -93,35 +93,36 @@ def merge_changes(
     in place, and only rows the batch touches are ever shuffled.
     """
     fields = [f for f in state.columns if f != key]
-    touched = state.join(ops.select(key), key, "left_semi").select(
-        key, F.struct(*fields).alias("old")
+    updated = {"status": "status", "balance": "balance", "version": "old.version + 1", "updated_at": "updated_at"}
+    after = _struct({f: updated.get(f, f"old.{f}") for f in fields})
+    fresh = _struct({f: "0L" if f == "version" else f for f in fields})
+
+    def image(kind: str, row: str) -> str:
+        return _struct({"kind": f"'{kind}'", "row": row})
+
+    images = f"""
+        CASE WHEN old IS NOT NULL AND op = 'delete' THEN array({image(DELETE, "old")})
+             WHEN old IS NOT NULL AND op = 'update' THEN array({image(PRE, "old")}, {image(POST, after)})
+             WHEN old IS NULL AND op = 'insert' THEN array({image(INSERT, fresh)})
+        END"""
+    touched = state.join(ops.select(key), key, "left_semi").selectExpr(
+        key, f"{_struct({f: f for f in fields})} AS old"
     )
-    paired = ops.join(touched, key, "left")
-
-    hit, op, old = F.col("old").isNotNull(), F.col("op"), F.col("old")
-    before = F.struct(*[old[f].alias(f) for f in fields])
-    updated = {"status": F.col("status"), "balance": F.col("balance"), "version": old["version"] + 1,
-               "updated_at": F.col("updated_at")}
-    after = F.struct(*[updated.get(f, old[f]).alias(f) for f in fields])
-    fresh = F.struct(
-        *[(F.lit(0).cast("bigint") if f == "version" else F.col(f)).alias(f) for f in fields]
+    return (
+        ops.join(touched, key, "left")
+        .selectExpr(key, f"inline({images}) AS (_change_type, row)")
+        .select(
+            key,
+            "row.*",
+            "_change_type",
+            F.lit(version).cast("bigint").alias("_commit_version"),
+            timestamp.cast("timestamp").alias("_commit_timestamp"),
+        )
     )
 
-    def image(kind: str, row: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
 
-    images = (
-        F.when(hit & (op == "delete"), F.array(image(DELETE, before)))
-        .when(hit & (op == "update"), F.array(image(PRE, before), image(POST, after)))
-        .when(~hit & (op == "insert"), F.array(image(INSERT, fresh)))
-    )
-    return paired.select(key, F.explode(images).alias("i")).select(
-        key,
-        *[F.col(f"i.row.{f}").alias(f) for f in fields],
-        F.col("i.kind").alias("_change_type"),
-        F.lit(version).cast("bigint").alias("_commit_version"),
-        timestamp.cast("timestamp").alias("_commit_timestamp"),
-    )
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
 def as_inserts(state: DataFrame, version: int, timestamp: Column) -> DataFrame:
@@ -136,13 +137,12 @@ def as_inserts(state: DataFrame, version: int, timestamp: Column) -> DataFrame:
 
 def latest_change(changes: DataFrame, key: str = KEY) -> DataFrame:
     """The newest change of each key, deletes included. Combines before the shuffle."""
-    rest = [c for c in changes.columns if c != key]
-    newest = F.max_by(F.struct(*rest), F.col("_commit_version")).alias("r")
+    rest = ", ".join(c for c in changes.columns if c != key)
     return (
-        changes.filter(F.col("_change_type") != PRE)
+        changes.filter(f"_change_type <> '{PRE}'")
         .groupBy(key)
-        .agg(newest)
-        .select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
+        .agg(F.expr(f"max_by(struct({rest}), _commit_version) AS row"))
+        .select(key, "row.*")
     )
 
 
@@ -161,5 +161,5 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = KEY) -> DataF
     broadcast join while the keys stay under Spark's threshold.
     """
     newest = latest_change(changes, key)
-    live = newest.filter(F.col("_change_type") != DELETE).select(*state.columns)
+    live = newest.filter(f"_change_type <> '{DELETE}'").select(*state.columns)
     return state.join(newest.select(key), key, "left_anti").unionByName(live)
