@@ -159,7 +159,11 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = KEY) -> DataF
 
     Only the changes are grouped. The state is anti-joined with their keys, a
     broadcast join while the keys stay under Spark's threshold.
+
+    Spark 4.1 takes a union of two inputs hashed on one key as hashed on that
+    key, and a later join on it fails once adaptive execution has coalesced one
+    of them. Rebalancing the small side leaves nothing to infer.
     """
-    newest = latest_change(changes, key)
-    live = newest.filter(f"_change_type <> '{DELETE}'").select(*state.columns)
-    return state.join(newest.select(key), key, "left_anti").unionByName(live)
+    keys = changes.filter(f"_change_type <> '{PRE}'").select(key).distinct()
+    live = latest_change(changes, key).filter(f"_change_type <> '{DELETE}'").select(*state.columns)
+    return state.join(keys, key, "left_anti").unionByName(live.hint("rebalance"))

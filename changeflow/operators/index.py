@@ -32,9 +32,12 @@ class EmptySource(RuntimeError):
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str = "point_id") -> DataFrame:
-    """`incoming` replaces rows of the same id, the others stay. Ids in `incoming` are unique."""
+    """`incoming` replaces rows of the same id, the others stay. Ids in `incoming` are unique.
+
+    The rebalancing keeps Spark 4.1 from taking the union as hashed by id.
+    """
     kept = target.join(incoming.select(key), key, "left_anti")
-    return kept.unionByName(incoming)
+    return kept.unionByName(incoming.hint("rebalance"))
 
 
 def collect_garbage(points: DataFrame, run_id: str, column: str = "run_id") -> DataFrame:
