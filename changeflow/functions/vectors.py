@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.text import WHITESPACE, strip
+from changeflow.functions.ids import digest_int
+from changeflow.functions.text import let
 
 DIM = 64
 
@@ -20,15 +21,14 @@ Embedder = Callable[[], Callable[[list[str]], np.ndarray]]
 
 def word_buckets(text: Column, dim: int = DIM) -> Column:
     """`array<int>` with one signed bucket, +-(1..dim), per word of the text."""
-    words = F.filter(F.split(strip(F.lower(text)), "[" + WHITESPACE.replace("\\", r"\\") + "]+"), lambda w: w != "")
+    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
-    def bucket(word: Column) -> Column:
+    def bucket(digest: Column) -> Column:
         # 31 bits pick the bucket, one bit its sign.
-        digest = F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
         index = (F.shiftright(digest, 1) % dim + 1).cast("int")
         return F.when(digest % 2 == 0, index).otherwise(-index)
 
-    return F.transform(words, bucket)
+    return F.transform(words, lambda w: let(digest_int(w), bucket))
 
 
 def hashed_vectors(df: DataFrame, text: str = "text", into: str = "vector", dim: int = DIM) -> DataFrame:

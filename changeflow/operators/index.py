@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from changeflow.operators.artefacts import one_per_key
+from changeflow.functions.vectors import Embedder, with_vectors
 from changeflow.session import path_exists
 
 # Payload fields that take a filter.
@@ -45,9 +45,16 @@ def collect_garbage(points: DataFrame, run_id: str, column: str = "run_id") -> D
     return points.filter(F.col(column).eqNullSafe(F.lit(run_id)))
 
 
-def distinct_points(points: DataFrame) -> DataFrame:
-    """One point per id: of reports with the same key, the greatest path wins."""
-    return one_per_key(points, "point_id", "path")
+def distinct_points(points: DataFrame, copies: str | None = None) -> DataFrame:
+    """One point per id: of reports with the same key, the greatest path wins.
+
+    Combines before the shuffle, so however many copies a point has, each task
+    sends one. `copies` names a column to count them in.
+    """
+    rest = [c for c in points.columns if c != "point_id"]
+    best = F.max_by(F.struct(*rest), F.col("path")).alias("_point")
+    counts = [F.count(F.lit(1)).alias(copies)] if copies else []
+    return points.groupBy("point_id").agg(best, *counts).select("point_id", "_point.*", *([copies] if copies else []))
 
 
 def guard_source(n_points: int, target_exists: bool, allow_empty_first_run: bool = True) -> None:
@@ -93,26 +100,31 @@ class PointIndex:
 
     def read(self) -> DataFrame | None:
         """The live points; none if the collection is new or has to be recreated."""
-        return self.spark.read.parquet(self.live()["path"]) if self.compatible() else None
+        return self.spark.read.parquet(self.live()["path"]).drop("_copies") if self.compatible() else None
 
     def refresh(
-        self, points: DataFrame, run_id: str, now: datetime, allow_empty_first_run: bool = True
+        self,
+        points: DataFrame,
+        run_id: str,
+        now: datetime,
+        allow_empty_first_run: bool = True,
+        embed: Embedder | None = None,
     ) -> dict[str, int]:
         """Replace the collection by this run's points. Returns the counts.
 
-        The new folder is written and counted first; the collection changes
-        only with the row that names it, so a failed run leaves it untouched.
+        Points without a vector column get one after their copies are merged,
+        so no copy is embedded and no vector is shuffled. The new folder is
+        written and counted first; the collection changes only with the row
+        that names it, so a failed run leaves it untouched.
         """
         exists = self.compatible()
         path = f"{self.root}/points/{run_id}-{uuid.uuid4().hex}"
-        seen = F.count(F.lit(1))
-        counted = points.groupBy("point_id").agg(
-            F.max_by(F.struct(*[c for c in points.columns if c != "point_id"]), F.col("path")).alias("r"),
-            seen.alias("_copies"),
-        ).select("point_id", "r.*", "_copies")
-        counted.write.parquet(path)
+        merged = distinct_points(points, copies="_copies")
+        if self.vector not in points.columns:
+            merged = with_vectors(merged, embed, into=self.vector)
+        merged.write.parquet(path)
         written = self.spark.read.parquet(path).agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).alias("points_in"), seen.alias("points")
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("points_in"), F.count(F.lit(1)).alias("points")
         ).first()
         guard_source(written["points"], exists, allow_empty_first_run)
         row = (run_id, now, path, self.vector, self.dim, written["points_in"], written["points"])

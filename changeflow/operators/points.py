@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,28 +128,44 @@ def chunk_points(chunked: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def orphans(artefacts: DataFrame, reports: DataFrame, kind: str) -> DataFrame:
-    """Artefact keys no report has."""
+def _coverage(reports: DataFrame, artefacts: dict[str, DataFrame]) -> DataFrame:
+    """One row per key: number of reports `n`, and a flag for every kind of artefact.
+
+    The reports are counted per key before the joins, so they are parsed once
+    and a hot key is a single row in the joins.
+    """
+    both = reports.groupBy("dedup_key").agg(F.count(F.lit(1)).alias("n"))
+    for kind, rows in artefacts.items():
+        flagged = rows.select("dedup_key", F.lit(True).alias(kind))
+        both = both.join(flagged, "dedup_key", "full")
+    return both
+
+
+def orphans(reports: DataFrame, artefacts: dict[str, DataFrame]) -> DataFrame:
+    """`kind, dedup_key` of artefacts no report has."""
+    keys = [rows.select(F.lit(kind).alias("kind"), "dedup_key") for kind, rows in artefacts.items()]
     known = reports.select("dedup_key").distinct()
-    return artefacts.join(known, "dedup_key", "left_anti").select(F.lit(kind).alias("kind"), "dedup_key")
+    return functools.reduce(DataFrame.unionByName, keys).join(known, "dedup_key", "left_anti").select("kind", "dedup_key")
 
 
-def enrichment_stats(reports: DataFrame, artefacts: DataFrame, kind: str, alarm_at_zero: bool) -> DataFrame:
-    """How many artefacts were loaded, how many reports they reach, how many reach none.
+def enrichment_stats(reports: DataFrame, artefacts: dict[str, DataFrame], loud: tuple[str, ...] = ("conclusion",)) -> DataFrame:
+    """Per kind of artefact: how many were loaded, how many reports they reach, how many reach none.
 
-    The reports are counted per key before the join, so a hot key is one row in
-    it. Zero conclusions is an alarm, zero confirmations a normal state. With
-    no reports at all there is no row.
+    None at all is an alarm for the `loud` kinds (conclusions are expected) and
+    a normal state for the others (most incidents are never confirmed). With no
+    reports there is no row.
     """
-    per_key = reports.groupBy("dedup_key").agg(F.count(F.lit(1)).alias("n"))
-    both = per_key.join(artefacts.select("dedup_key", F.lit(1).alias("a")), "dedup_key", "full")
-    n, has = F.coalesce("n", F.lit(0)), F.col("a").isNotNull()
-    total = F.sum(n)
-    loaded = F.count_if(has)
-    return both.agg(
-        loaded.alias("loaded"),
-        F.coalesce(F.sum(F.when(has, n)), F.lit(0)).alias("enriched"),
-        total.alias("total"),
-        F.count_if(has & F.col("n").isNull()).alias("orphans"),
-        ((loaded == 0) & F.lit(alarm_at_zero)).alias("alarm"),
-    ).filter("total > 0").select(F.lit(kind).alias("kind"), "*")
+
+    def counts(kind: str) -> Column:
+        has = F.coalesce(F.col(kind), F.lit(False))
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            F.count_if(has).alias("loaded"),
+            F.coalesce(F.sum(F.when(has, F.coalesce("n", F.lit(0)))), F.lit(0)).alias("enriched"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+            F.count_if(has & F.col("n").isNull()).alias("orphans"),
+            ((F.count_if(has) == 0) & F.lit(kind in loud)).alias("alarm"),
+        )
+
+    kinds = F.array(*[counts(kind) for kind in artefacts])
+    return _coverage(reports, artefacts).agg(kinds.alias("k")).select(F.inline("k")).filter("total > 0")

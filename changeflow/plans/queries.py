@@ -454,18 +454,16 @@ def enriched_reports(spark, sf):
     )
 
 
+def _artefacts(spark, sf):
+    return {"conclusion": _conclusions(spark, sf), "confirmation": _confirmations(spark, sf)}
+
+
 def enrichment_stats(spark, sf):
-    reports = _reports(spark, sf)
-    concluded = pt.enrichment_stats(reports, _conclusions(spark, sf), "conclusion", True)
-    confirmed = pt.enrichment_stats(reports, _confirmations(spark, sf), "confirmation", False)
-    return concluded.unionByName(confirmed)
+    return pt.enrichment_stats(_reports(spark, sf), _artefacts(spark, sf))
 
 
 def orphans(spark, sf):
-    reports = _reports(spark, sf)
-    return pt.orphans(_conclusions(spark, sf), reports, "conclusion").unionByName(
-        pt.orphans(_confirmations(spark, sf), reports, "confirmation")
-    )
+    return pt.orphans(_reports(spark, sf), _artefacts(spark, sf))
 
 
 # -- points and index ------------------------------------------------------
@@ -655,7 +653,7 @@ def classify_summary(spark, sf):
 def run_metrics(spark, sf):
     """Counts that two refreshes of the section index left in its run table."""
     index = ix.PointIndex(spark, work_dir(spark, "index"))
-    points = with_vectors(pt.points_sections(_enriched(spark, sf)))
+    points = pt.points_sections(_enriched(spark, sf))
     index.refresh(points, "run-1", at(0))
     index.refresh(points.unionByName(points), "run-2", at(1))
     return index.runs().select("run_id", "points_in", "points")

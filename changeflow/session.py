@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, app: str = "changeflow", memory: str = "1
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         # Do not trace the Python line of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions.text import normalise_newlines
-from changeflow.session import qualified
+from changeflow.session import path_exists, qualified
 
 # Disjoint prefixes keep the three families of artefacts apart.
 REPORT_GLOBS = ["triage/**/*.md"]
@@ -35,23 +37,35 @@ def glob_pattern(glob: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+def _folders(globs: list[str]) -> list[str]:
+    """The folders below which the globs can match, none inside another."""
+    fixed = []
+    for glob in globs:
+        parts = glob.strip().split("/")[:-1]
+        wild = next((i for i, p in enumerate(parts) if set(p) & set("*?")), len(parts))
+        fixed.append("/".join(parts[:wild]))
+    return [f for f in sorted(set(fixed)) if not any(f != g and (g == "" or f.startswith(g + "/")) for g in fixed)]
+
+
 def scan_texts(spark: SparkSession, root: str, globs: list[str]) -> DataFrame:
     """`path` (relative to the root), `content`, `readable` of matching files.
 
-    One scan serves all globs, so a file matched twice still yields one row.
-    Bytes that are not UTF-8 leave `readable` false and `content` null: such
-    files are set aside, never decoded with replacement characters.
+    Only folders and file names the globs can match are read. One scan serves
+    all globs, so a file matched twice still yields one row. Bytes that are not
+    UTF-8 leave `readable` false and `content` null: such files are set aside,
+    never decoded with replacement characters.
     """
     base = qualified(spark, root)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(base)
-        .withColumn("path", F.expr(f"substring(path, {len(base) + 2})"))
-    )
-    matches = F.lit(False)
-    for glob in globs:
-        matches = matches | F.col("path").rlike(glob_pattern(glob))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    names = {g.strip().rsplit("/", 1)[-1] for g in globs}
+    if len(names) == 1:
+        reader = reader.option("pathGlobFilter", names.pop())
+    folders = [f"{base}/{f}".rstrip("/") for f in _folders(globs)]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], "path string, content string, readable boolean")
+    files = reader.load(folders).withColumn("path", F.expr(f"substring(path, {len(base) + 2})"))
+    matches = functools.reduce(operator.or_, [F.col("path").rlike(glob_pattern(g)) for g in globs])
     text = F.col("content").cast("string")
     readable = F.is_valid_utf8(text)
     return files.filter(matches).select(

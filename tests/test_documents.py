@@ -213,15 +213,19 @@ def test_enrichment(spark):
 def test_coverage_and_orphans(spark):
     reports, conclusions, confirmations = corpus(spark)
 
-    def stats(r, a, kind, alarm):
-        rows = pt.enrichment_stats(r, a, kind, alarm).drop("kind").collect()
-        return [tuple(x) for x in rows]
-
-    assert stats(reports, conclusions, "conclusion", True) == [(3, 2, 4, 1, False)]
-    assert stats(reports, conclusions.limit(0), "conclusion", True) == [(0, 0, 4, 0, True)]
-    assert stats(reports, confirmations.limit(0), "confirmation", False) == [(0, 0, 4, 0, False)]
-    assert stats(reports.limit(0), conclusions, "conclusion", True) == []
-    assert [r["dedup_key"] for r in pt.orphans(conclusions, reports, "c").collect()] == ["zzz"]
+    def stats(r, c, f):
+        rows = pt.enrichment_stats(r, {"conclusion": c, "confirmation": f}).collect()
+        return {x["kind"]: tuple(x)[1:] for x in rows}
+
+    assert stats(reports, conclusions, confirmations) == {
+        "conclusion": (3, 2, 4, 1, False), "confirmation": (2, 1, 4, 1, False),
+    }
+    assert stats(reports, conclusions.limit(0), confirmations.limit(0)) == {
+        "conclusion": (0, 0, 4, 0, True), "confirmation": (0, 0, 4, 0, False),
+    }
+    assert stats(reports.limit(0), conclusions, confirmations) == {}
+    lost = pt.orphans(reports, {"conclusion": conclusions, "confirmation": confirmations}).collect()
+    assert sorted(map(tuple, lost)) == [("conclusion", "zzz"), ("confirmation", "yyy")]
 
 
 def test_hot_key_is_split(spark):
