@@ -75,8 +75,8 @@ def split_literal(text: Column, separator: str) -> Column:
 
 
 def from_index(items: Column, start: int) -> Column:
-    """The array from 1-based `start` to its end."""
-    return F.slice(items, F.lit(start), F.size(items))
+    """The array from 1-based `start` to its end, without evaluating it twice."""
+    return F.slice(items, F.lit(start), F.lit(1 << 30))
 
 
 def unescape(text: Column) -> Column:
