@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from changeflow.functions.vectors import Embedder, with_vectors
-from changeflow.session import path_exists
+from changeflow.session import append_row, path_exists
 
 # Payload fields that take a filter.
 FILTERABLE = ("namespace", "alertnames", "confirmation", "outcome", "confidence", "section")
@@ -128,7 +128,7 @@ class PointIndex:
         ).first()
         guard_source(written["points"], exists, allow_empty_first_run)
         row = (run_id, now, path, self.vector, self.dim, written["points_in"], written["points"])
-        self.spark.createDataFrame([row], self.RUNS).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        append_row(self.spark, f"{self.root}/runs", self.RUNS, *row)
         return written.asDict()
 
 

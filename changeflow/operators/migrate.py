@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.session import path_exists
+from changeflow.session import append_row, path_exists
 
 STATE = "id string, applied_at timestamp"
 
@@ -34,5 +34,5 @@ def run_migrations(spark: SparkSession, registry: list[Migration], state: str, n
     actions = dict(registry)
     for mid in todo:
         actions[mid](spark)
-        spark.createDataFrame([(mid, now)], STATE).coalesce(1).write.mode("append").parquet(state)
+        append_row(spark, state, STATE, mid, now)
     return todo

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cpus: int | str = 8, app: str = "changeflow", memory: str = "16g") -> SparkSession:
@@ -61,3 +63,10 @@ def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, as file sources report it."""
     fs, p = hadoop_path(spark, path)
     return fs.makeQualified(p).toString()
+
+
+def append_row(spark: SparkSession, path: str, schema: str | T.StructType, *values) -> None:
+    """Append one row, as one file, to a small bookkeeping table."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    columns = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values, strict=True)]
+    spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(path)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators import changes as ch
-from changeflow.session import delete_path, path_exists
+from changeflow.session import append_row, delete_path, path_exists
 
 COMMITS = T.StructType(
     [
@@ -65,10 +65,8 @@ class TableLog:
         """Declare the table unless it exists. Its root is its identity."""
         if path_exists(self.spark, f"{self.root}/properties"):
             return False
-        row = (self.schema.json(), json.dumps(properties or PROPERTIES))
-        self.spark.createDataFrame([row], "schema string, properties string").coalesce(1).write.parquet(
-            f"{self.root}/properties"
-        )
+        declared = (self.schema.json(), json.dumps(properties or PROPERTIES))
+        append_row(self.spark, f"{self.root}/properties", "schema string, properties string", *declared)
         return True
 
     def properties(self) -> dict[str, str]:
@@ -100,10 +98,7 @@ class TableLog:
         head = self.head()
         if head is not None and head["version"] >= version:
             raise RuntimeError(f"version {version} of {self.root} is already committed")
-        row = (version, now, operation, changes, state, base)
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/commits"
-        )
+        append_row(self.spark, f"{self.root}/commits", COMMITS, version, now, operation, changes, state, base)
 
     def _data_path(self, kind: str, version: int) -> str:
         return f"{self.root}/{kind}/{version:012d}/{uuid.uuid4().hex}"
@@ -232,9 +227,7 @@ class TableLog:
             return floor
         # The floor is recorded first: after a crash, half-deleted versions
         # are already refused.
-        self.spark.createDataFrame([(base["version"],)], "version bigint").coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/floor")
+        append_row(self.spark, f"{self.root}/floor", "version bigint", base["version"])
         gone = commits.filter((F.col("version") > floor) & (F.col("version") <= base["version"]))
         for row in gone.select("version", "changes", "state").toLocalIterator():
             for path in {row["changes"], row["state"]} - {None, base["state"]}:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators import messages as ms
 from changeflow.operators.changes import as_inserts
-from changeflow.session import path_exists
+from changeflow.session import append_row, path_exists
 from changeflow.sources.tablelog import COMMITS, RetentionError, TableLog
 
 # A sink takes the messages of one micro-batch and its number.
@@ -78,7 +78,7 @@ def _pinned_start(log: TableLog, sink: Sink, checkpoint: str, starting: str) ->
         head = log.head()
         rows = as_inserts(log.read(head["version"]), head["version"], F.lit(head["timestamp"]))
         publish_batch(ms.change_messages(rows, log.key), sink)
-        log.spark.createDataFrame([(head["version"],)], "version bigint").coalesce(1).write.parquet(note)
+        append_row(log.spark, note, "version bigint", head["version"])
     return log.spark.read.schema("version bigint").parquet(note).first()["version"]
 
 
