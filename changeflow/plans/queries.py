@@ -208,7 +208,7 @@ def upsert_view(spark, sf):
 def upsert_stream(spark, sf):
     topic, out, checkpoint = (work_dir(spark, n) for n in ("topic", "view", "checkpoint"))
     _topic(spark, sf).write.parquet(topic)
-    stream = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 8).parquet(topic)
+    stream = spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 64).parquet(topic)
     feed.upsert_stream(stream, out, checkpoint).awaitTermination()
     return _view_columns(feed.read_upserts(spark, out))
 
@@ -225,17 +225,22 @@ def _history(spark, sf):
     return views.view(spark, sf, "history")
 
 
+def _history_now():
+    """The clock of the history: zone-less, like the event times it is made from."""
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
 def history_head(spark, sf):
     return mt.history_head(_history(spark, sf))
 
 
 def hours_since_op(spark, sf):
-    clock = mt.hours_since(_history(spark, sf), "OPTIMIZE", F.lit(NOW))
+    clock = mt.hours_since(_history(spark, sf), "OPTIMIZE", _history_now())
     return clock.select(F.round("hours", 6).alias("hours"))
 
 
 def maintenance_due(spark, sf):
-    clock = mt.due(mt.hours_since(_history(spark, sf), "OPTIMIZE", F.lit(NOW)), 1.0)
+    clock = mt.due(mt.hours_since(_history(spark, sf), "OPTIMIZE", _history_now()), 1.0)
     return clock.select(F.round("hours", 6).alias("hours"), "due")
 
 

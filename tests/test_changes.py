@@ -326,3 +326,23 @@ def test_rounds_fold_into_the_log(spark):
     assert ch.max_key(log.read()).first()["m"] >= 500
     with pytest.raises(RuntimeError):
         gen.check_count(log.read(), -1)
+
+
+def test_topic_sink_on_a_processing_time_trigger(spark):
+    """Appends in version order per key; any batch format stands in for the broker."""
+    log = TableLog(spark, work_dir(spark, "t"))
+    log.append(seed_rows(spark, 5), T0)
+    out = work_dir(spark, "topic")
+    sink = feed.topic_sink({"path": out}, fmt="json")
+    query = feed.publish_changes(log, sink, work_dir(spark, "cp"), trigger="1 second")
+    try:
+        log.merge(ch.last_op_per_key(raw_ops(spark, 1)[1]), at(1))
+        query.processAllAvailable()
+        log.merge(ch.last_op_per_key(raw_ops(spark, 2)[1]), at(2))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    feed.hydrate(log, sink)
+    topic = ms.parse_messages(spark.read.schema("key string, value string").json(out))
+    assert as_dict(ms.upsert_view(topic)) == as_dict(log.read())
+    assert {r[0] for r in topic.select("_change_type").distinct().collect()} > {"insert", "hydrate"}
