@@ -216,16 +216,20 @@ def cosine_topk(
     shuffled. The query matrix is bounded by `QUERY_BYTES`: more queries mean
     more passes over the points, never a larger broadcast.
     """
-    shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    if not shape["n"]:
-        raise ValueError("no query vectors")
-    passes = -(-shape["n"] * 8 * shape["dim"] // QUERY_BYTES)
-    found = None
-    for i in range(passes):
-        rows = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i).collect()
-        if rows:
-            hits = _search(points, rows, k, point, vector, field)
-            found = hits if found is None else found.unionByName(hits)
+    queries = queries.persist()
+    try:
+        shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+        if not shape["n"]:
+            raise ValueError("no query vectors")
+        passes = -(-shape["n"] * 8 * shape["dim"] // QUERY_BYTES)
+        found = None
+        for i in range(passes):
+            rows = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i).collect()
+            if rows:
+                hits = _search(points, rows, k, point, vector, field)
+                found = hits if found is None else found.unionByName(hits)
+    finally:
+        queries.unpersist()
     best = Window.partitionBy("query_id").orderBy(F.desc(F.round("sim", DIGITS)), F.col(point))
     return (
         found.withColumn("rank", F.row_number().over(best))
