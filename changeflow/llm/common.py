@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,13 @@ def extended(frame: DataFrame, ddl: str) -> T.StructType:
     return T.StructType(frame.schema.fields + T.StructType.fromDDL(ddl).fields)
 
 
+def guarded(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with names that no added column can clash with, and the way back to its own columns and names."""
+    safe = [c if c == text else f"_{i}" for i, c in enumerate(docs.columns)]
+    names = docs.columns
+    return docs.toDF(*safe), lambda out: out.select(*[F.col(s).alias(n) for s, n in zip(safe, names, strict=True)])
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo `modulus`; a null key counts as the empty text."""
     return F.coalesce(F.crc32(F.coalesce(key.cast("string"), F.lit(""))), F.lit(0)) % modulus

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import extended, labelled_sample
+from changeflow.llm.common import extended, guarded, labelled_sample
 
 PER_CLASS = 3000  # labelled texts of a class that are read for fitting, at most
 MAX_CHARS = 30_000  # longer texts are not fitted on (all texts are scored)
@@ -144,4 +144,5 @@ def score(docs: DataFrame, model: CompressionModel, text: str = "text") -> DataF
 def reject(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> DataFrame:
     """The documents that score at least 0.5, with the columns they came with."""
     model = fit(docs, labels, F.lit(True) if train is None else train)
-    return score(docs.select("*", F.struct("*").alias("_row")), model).filter("predicted = 1").select("_row.*")
+    safe, back = guarded(docs)
+    return back(score(safe, model).filter("predicted = 1"))

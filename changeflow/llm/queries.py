@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import packing, quality, toxicity
+from changeflow.llm import decontamination, packing, quality, rules, sql, toxicity
 from changeflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,16 +23,31 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 3) == 1
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held)
     return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.judge(decontamination.find(docs, table(spark, sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op4_toxicity": op4_toxicity,
+    "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = sql.ORACLES

@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import extended, labelled_sample
+from changeflow.llm.common import extended, guarded, labelled_sample
 
 TOXIC, CLEAN = 2000, 4000  # labelled texts read for fitting, at most
 MAX_CHARS = 30_000  # longer texts are not fitted on (all texts are scored)
-LEAST_DOCS = 3  # training documents a word must occur in to get a weight
+LEAST_DOCS = 3  # training documents a feature must occur in to get a weight
+LEAST_Z = 4.0  # standard deviations by which toxic documents must hold it more often than their share
 STEPS = 150
 
 SENTENCES = re.compile(r"[^.!?\n]+")
@@ -66,7 +67,7 @@ class NoisyOr:
         clean = 0.0
         for _, _, p in self.sentences(text):
             clean += np.log1p(-min(p, 1 - 1e-12))
-        return float(-np.expm1(clean))
+        return max(0.0, float(-np.expm1(clean)))
 
 
 def fit_texts(sample: list[tuple[str, int]]) -> NoisyOr:
@@ -78,8 +79,9 @@ def fit_texts(sample: list[tuple[str, int]]) -> NoisyOr:
     seen: Counter[str] = Counter(w for bag in bags for w in set().union(*bag))
     toxic: Counter[str] = Counter(w for bag, (_, y) in zip(bags, sample, strict=True) if y for w in set().union(*bag))
     share = ones / len(sample)
-    # Only what is clearly more frequent in toxic documents than elsewhere can point at a toxic sentence.
-    vocabulary = sorted(w for w, n in seen.items() if n >= LEAST_DOCS and toxic[w] > 1.5 * share * n)
+    # Only what is more frequent in toxic documents beyond chance can point at a toxic sentence.
+    beyond = {w: share * n + LEAST_Z * np.sqrt(n * share * (1 - share)) for w, n in seen.items() if n >= LEAST_DOCS}
+    vocabulary = sorted(w for w, least in beyond.items() if toxic[w] >= least)
     index = {w: i for i, w in enumerate(vocabulary)}
     word, owner, document = [], [], []
     for d, bag in enumerate(bags):
@@ -153,4 +155,5 @@ def score(docs: DataFrame, model: NoisyOr, text: str = "text", spans: bool = Fal
 def reject(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> DataFrame:
     """The documents that score under 0.5, with the columns they came with."""
     model = fit(docs, labels, F.lit(True) if train is None else train)
-    return score(docs.select("*", F.struct("*").alias("_row")), model).filter("predicted = 0").select("_row.*")
+    safe, back = guarded(docs)
+    return back(score(safe, model).filter("predicted = 0"))
