@@ -104,7 +104,7 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFra
     earlier = docs.columns.index("hits") if "hits" in docs.columns else None
     keep = [i for i, c in enumerate(docs.columns) if c not in ("n_words", "hits")]
     rest = docs.select(*[docs.columns[i] for i in keep])
-    at = docs.columns.index("text")
+    at, names = docs.columns.index("text"), [*rest.columns, "n_words", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(sent.value, window)
@@ -117,7 +117,7 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFra
                 new = [{"first": a, "last": b, "item_id": i} for a, b, i in automaton.find(words)]
                 hits.append(old + new)
             columns = [batch.column(i) for i in keep] + [pa.array(counts, pa.int64()), pa.array(hits, _HITS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest.columns, "n_words", "hits"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, extended(rest, FOUND))
 
@@ -151,6 +151,7 @@ def spans(found: DataFrame, text: str = "text") -> DataFrame:
     """`found` with `spans`: its hits as (start, end, item_id), offsets in characters of the text as it was."""
     rest = found.drop("spans")
     at, text_at = rest.columns.index("hits"), rest.columns.index(text)
+    names = [*rest.columns, "spans"]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("item_id", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def spans(found: DataFrame, text: str = "text") -> DataFrame:
                 out.append(
                     [{"start": where[h["first"]][0], "end": where[h["last"]][1], "item_id": h["item_id"]} for h in hits]
                 )
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*rest.columns, "spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=names)
 
     return rest.mapInArrow(run, extended(rest, "spans array<struct<start:long,end:long,item_id:string>>"))
 

@@ -51,22 +51,25 @@ def repeated_words(items: Column) -> Column:
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda n, gap: n + gap)
 
     def twins(ordered: Column) -> Column:
-        pairs = F.filter(F.arrays_zip(ordered.alias("a"), from_second(ordered).alias("b")), _same)
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(pairs, lambda z: F.array(z["0"]["i"], z["1"]["i"])))))
+        none = F.array().cast("array<int>")
+        pairs = F.zip_with(
+            ordered,
+            from_second(ordered),
+            lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(none),
+        )
+        return F.array_sort(F.array_distinct(F.flatten(pairs)))
 
     def windows(w: Column) -> Column:
-        # The first and second neighbour run past the end there; the last two entries are cut off.
-        triples = F.slice(F.arrays_zip(w, from_second(w), from_second(w, 3)), F.lit(1), F.size(w) - 2)
-        return F.transform(triples, lambda z, i: F.struct(F.xxhash64(z["0"], z["1"], z["2"]).alias("h"), i.alias("i")))
+        two = F.zip_with(w, from_second(w), lambda a, b: F.xxhash64(a, b))
+        three = F.zip_with(two, from_second(w, 3), lambda h, c: F.xxhash64(h, c))
+        # The last two entries have no third word.
+        whole = F.slice(three, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
+        return F.transform(whole, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
 
     found = let(F.sort_array(windows(items)), lambda s: let(twins(s), covered))
     return F.when(F.size(items) < 4, F.lit(0).cast("long")).otherwise(found)
 
 
-def _same(z: Column) -> Column:
-    return z["0"]["h"] == z["1"]["h"]
-
-
 def line_passes(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules on one line that holds a word.
 

@@ -12,8 +12,8 @@ sizes AS (SELECT DISTINCT n FROM windows),
 spots AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
 hits AS (SELECT doc_id, i, spots.n, item FROM spots JOIN windows USING (phrase)),
-covered AS (SELECT doc_id, count(DISTINCT at) AS n_hit
-            FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id),
+covered AS (SELECT doc_id, count(DISTINCT spot) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + n)) AS spot FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
           FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -30,19 +30,19 @@ _SPACE = r"[\x20\x09-\x0D]"
 RULES = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 words AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 triples AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS t
             FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) > 2)),
 twice AS (SELECT doc_id, t FROM triples GROUP BY doc_id, t HAVING count(*) > 1),
-repeats AS (SELECT doc_id, count(DISTINCT at) AS n
-            FROM (SELECT doc_id, unnest(range(i, i + 3)) AS at FROM triples JOIN twice USING (doc_id, t)) GROUP BY doc_id),
+repeats AS (SELECT doc_id, count(DISTINCT spot) AS n
+            FROM (SELECT doc_id, unnest(range(i, i + 3)) AS spot FROM triples JOIN twice USING (doc_id, t)) GROUP BY doc_id),
 tested AS (SELECT doc_id, line, len(regexp_replace(line, '{_SPACE}', '', 'g')) AS visible,
                   len(regexp_replace(line, '[^#*$%&<>{{}}\\^~=_]', '', 'g')) AS symbols,
                   regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w
            FROM (SELECT doc_id, unnest(lines) AS line FROM words)),
 passed AS (SELECT doc_id, sum(visible) AS good FROM (
-             SELECT *, len(w) AS n, len(list_filter(w, x -> regexp_matches(right(x, 2), '[!?]{{2}}|[#*$%&]{{2}}'))) AS marked,
-                    len(list_filter(w, x -> x IN ('|', '»', '›', '•', '>', '>>', '/'))) AS bars FROM tested)
+             SELECT *, len(w) AS n, len(list_filter(w, lambda x: regexp_matches(right(x, 2), '[!?]{{2}}|[#*$%&]{{2}}'))) AS marked,
+                    len(list_filter(w, lambda x: x IN ('|', '»', '›', '•', '>', '>>', '/'))) AS bars FROM tested)
            WHERE NOT (10 * symbols > visible OR 4 * marked > n OR (bars >= 3 AND n <= 4 * bars)
                       OR (n >= 12 AND 4 * len(list_distinct(w)) < n)
                       OR (n >= 8 AND line = upper(line) AND line <> lower(line))

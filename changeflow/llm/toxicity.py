@@ -75,18 +75,22 @@ def fit_texts(sample: list[tuple[str, int]]) -> NoisyOr:
     ones = sum(y for _, y in sample)
     if not ones or ones == len(sample):
         return NoisyOr({}, 0.0, 1.0 if ones else 0.0)
-    bags = [[features(s) for s in SENTENCES.findall(t.lower())] for t, _ in sample]
-    seen: Counter[str] = Counter(w for bag in bags for w in set().union(*bag))
-    toxic: Counter[str] = Counter(w for bag, (_, y) in zip(bags, sample, strict=True) if y for w in set().union(*bag))
+    seen: Counter[str] = Counter()
+    toxic: Counter[str] = Counter()
+    for text, y in sample:
+        found = features(text.lower())
+        seen.update(found)
+        if y:
+            toxic.update(found)
     share = ones / len(sample)
     # Only what is more frequent in toxic documents beyond chance can point at a toxic sentence.
     beyond = {w: share * n + LEAST_Z * np.sqrt(n * share * (1 - share)) for w, n in seen.items() if n >= LEAST_DOCS}
     vocabulary = sorted(w for w, least in beyond.items() if toxic[w] >= least)
     index = {w: i for i, w in enumerate(vocabulary)}
     word, owner, document = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            found = sorted(index[w] for w in s if w in index)
+    for d, (text, _) in enumerate(sample):
+        for sentence in SENTENCES.findall(text.lower()):
+            found = sorted(index[w] for w in features(sentence) if w in index)
             if found:
                 word += found
                 owner += [len(document)] * len(found)
