@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontamination, packing, quality, rules, sql, toxicity
+from changeflow.llm import decontamination, jaccard, packing, quality, rules, sql, toxicity
 from changeflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.judge(decontamination.find(docs, table(spark, sf_dir, "benchmark")))
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
