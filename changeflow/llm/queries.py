@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontamination, jaccard, packing, quality, rules, sql, toxicity
+from changeflow.llm import decontamination, jaccard, packing, quality, rules, sql, toxicity, urls, warc
 from changeflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,21 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 5) == 0
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.verdicts(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select(
@@ -48,7 +57,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
+    "op5_url_filters": op5_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
