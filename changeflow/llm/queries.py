@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontamination, jaccard, packing, quality, rules, sql, toxicity, urls, warc
+from changeflow.llm import decontamination, jaccard, licenses, ngram, packing, quality, rules, sql, toxicity, urls, warc
 from changeflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -32,6 +36,12 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), fold(F.col("doc_id"), 7) == 2
+    scored = ngram.score(docs, ngram.train(docs.filter(~held)))
+    return scored.withColumn("held_out", held).drop("text")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select(
@@ -57,9 +67,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_license_scans": op2_license_scans,
     "op3_warc": op3_warc,
     "op4_toxicity": op4_toxicity,
     "op5_url_filters": op5_url_filters,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
