@@ -21,7 +21,7 @@ from changeflow.session import local_session  # noqa: E402
 
 HEADLINE = [
     "flagship", "last_op_per_key", "merge_round", "change_rows", "cdf_messages", "state_current", "upsert_view",
-    "cdf_stream", "compaction", "change_batch", "skewed_keys", "front_matter", "reports_parsed", "sections",
+    "cdf_stream", "front_matter", "reports_parsed", "sections",
     "chunks", "point_ids", "conclusions_valid", "enriched_reports", "enrichment_stats", "points_sections",
     "embed_hash", "reconcile", "cosine_topk", "classify_run", "conclusion_write", "cost_per_session",
 ]

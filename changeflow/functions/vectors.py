@@ -52,11 +52,11 @@ def hashed_vectors(df: DataFrame, text: str = "text", into: str = "vector", dim:
 
 
 def with_vectors(
-    df: DataFrame, embed: Embedder | None = None, text: str = "text", into: str = "vector", batch: int = 8
+    df: DataFrame, embed: Embedder | None = None, text: str = "text", into: str = "vector", batch: int = 8, dim: int = DIM
 ) -> DataFrame:
-    """Adds a vector column: of the given model, or of hashed words by default."""
+    """Adds a vector column: of the given model, or of `dim` hashed words by default."""
     if embed is None:
-        return hashed_vectors(df, text, into)
+        return hashed_vectors(df, text, into, dim)
 
     @F.pandas_udf("array<float>")
     def embedded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,48 +26,46 @@ from changeflow.operators.index import upsert
 
 FIELDS = ["outcome", "verdict", "confidence", "reason", "rationale"]
 
-# Scope filters by name. A new one is one more entry.
-FILTERS: dict[str, Callable[[str], Column]] = {
-    "dedup-key": lambda v: F.col("dedup_key") == v,
-    "namespace": lambda v: fm.text(fm.value(F.col("fm"), "namespace")) == v,
-}
-
-ALL: tuple[str, str] | str = "all"
-Scope = tuple[str, str] | str | None
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def parse_scope(arguments: list[str] | None) -> Scope:
-    """None: only what is missing. []: everything. ['name=value']: what matches."""
-    if arguments is None:
-        return None
-    if not arguments:
-        return ALL
-    if len(arguments) > 1:
-        raise ValueError(f"one filter at a time, got {len(arguments)}: {', '.join(arguments)}")
-    name, _, value = arguments[0].partition("=")
-    if not value:
-        raise ValueError(f"a filter is name=value, got {arguments[0]!r}")
-    if name not in FILTERS:
-        raise ValueError(f"unknown filter {name!r}; known: {', '.join(sorted(FILTERS))}")
-    return name, value
-
-
-def select_reports(reports: DataFrame, existing: DataFrame, scope: Scope = None) -> DataFrame:
+@dataclass(frozen=True)
+class Scope:
+    """Which reports a run scores: those without a conclusion, or all that match.
+
+    `redo` takes reports with a conclusion as well; naming a key or a namespace
+    implies it. Both may be named, then both must match.
+    """
+
+    redo: bool = False
+    dedup_key: str | None = None
+    namespace: str | None = None
+
+    @property
+    def named(self) -> bool:
+        return self.dedup_key is not None or self.namespace is not None
+
+    def matches(self) -> Column:
+        own, space = F.col("dedup_key"), fm.text(fm.value(F.col("fm"), "namespace"))
+        wanted = [(own, self.dedup_key), (space, self.namespace)]
+        return reduce(lambda a, b: a & b, [c == v for c, v in wanted if v is not None], F.lit(True))
+
+
+MISSING, ALL = Scope(), Scope(redo=True)
+
+
+def select_reports(reports: DataFrame, existing: DataFrame, scope: Scope = MISSING) -> DataFrame:
     """The reports to score.
 
-    Without a scope: those whose conclusion file does not exist. Only the path
+    By default those whose conclusion file does not exist. Only the path
     counts, so a malformed conclusion is not redone, while a failed report,
     which wrote nothing, is. `existing` has the `path` of every conclusion.
     """
-    if scope is None:
-        located = reports.withColumn("_sibling", checked_conclusion_path(F.col("path")))
-        done = existing.select(F.col("path").alias("_sibling"))
-        return located.join(done, "_sibling", "left_anti").drop("_sibling")
-    if scope == ALL:
-        return reports
-    name, value = scope
-    return reports.filter(FILTERS[name](value))
+    if scope.redo or scope.named:
+        return reports.filter(scope.matches())
+    located = reports.withColumn("_sibling", checked_conclusion_path(F.col("path")))
+    done = existing.select(F.col("path").alias("_sibling"))
+    return located.join(done, "_sibling", "left_anti").drop("_sibling")
 
 
 @built_once
@@ -88,19 +88,19 @@ CONFIDENCE_WORDS = {"alta": "high", "média": "medium", "baixa": "low"}
 def rule_scorer(reports: DataFrame) -> DataFrame:
     """Baseline without a model: reads what the report itself states.
 
-    A cause section makes it diagnosed, with the first line of that section as
-    verdict and the stated confidence, or low. Without one it is inconclusive.
+    A cause section makes it diagnosed, with that section as verdict and the
+    stated confidence, or low. Without one it is inconclusive. A section too
+    long for a verdict is not cut: validation marks the report as failed.
     """
     cause = F.get(F.filter(sections("body"), lambda s: s["section"] == "cause"), F.lit(0))["text"]
     words = F.create_map(*[F.lit(x) for pair in CONFIDENCE_WORDS.items() for x in pair])
     stated = F.coalesce(F.try_element_at(words, _confidence_line("body")), F.lit("low"))
     seen = F.struct(cause.alias("_cause"), stated.alias("_stated"))
     found = F.col("_cause").isNotNull()
-    first_line = strip(F.substring_index("_cause", "\n", 1))
     return reports.select("*", unpacked(seen)).select(
         *reports.columns,
         F.when(found, DIAGNOSED).otherwise(INCONCLUSIVE).alias("outcome"),
-        F.substring(first_line, 1, VERDICT_MAX_CHARS).alias("verdict"),
+        strip(F.col("_cause")).alias("verdict"),
         F.when(found, F.col("_stated")).alias("confidence"),
         F.when(~found, "no cause section").alias("reason"),
         F.when(found, "cause section present").otherwise("no cause section").alias("rationale"),
@@ -208,7 +208,7 @@ def check_run(total: int, selected: int, done: int, failed: int, scope: Scope) -
     """Fail an empty corpus, a filter that matches nothing, and a run in which all failed."""
     if total == 0:
         raise RuntimeError("0 reports: is the source empty?")
-    if isinstance(scope, tuple) and selected == 0:
-        raise RuntimeError(f"no report matches {scope[0]}={scope[1]}")
+    if scope.named and selected == 0:
+        raise RuntimeError(f"no report matches {scope}")
     if failed and not done:
         raise RuntimeError(f"all {failed} reports failed")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from changeflow.functions.vectors import Embedder, with_vectors
-from changeflow.session import append_row, path_exists
+from changeflow.session import append_row, delete_path, path_exists
 
 # Payload fields that take a filter.
 FILTERABLE = ("namespace", "alertnames", "confirmation", "outcome", "confidence", "section")
@@ -114,22 +114,34 @@ class PointIndex:
 
         Points without a vector column get one after their copies are merged,
         so no copy is embedded and no vector is shuffled. The new folder is
-        written and counted first; the collection changes only with the row
-        that names it, so a failed run leaves it untouched.
+        written, counted and checked for the dimension first; the collection
+        changes only with the row that names it, so a refused run leaves it
+        untouched and its folder goes. The folder of the run before goes once
+        the new one is named.
         """
-        exists = self.compatible()
+        exists, before = self.compatible(), self.live()
         path = f"{self.root}/points/{run_id}-{uuid.uuid4().hex}"
         merged = distinct_points(points, copies="_copies")
         if self.vector not in points.columns:
-            merged = with_vectors(merged, embed, into=self.vector)
+            merged = with_vectors(merged, embed, into=self.vector, dim=self.dim)
         merged.write.parquet(path)
+        size = F.coalesce(F.size(self.vector), F.lit(-1))
         written = self.spark.read.parquet(path).agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).alias("points_in"), F.count(F.lit(1)).alias("points")
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("points_in"), F.count(F.lit(1)).alias("points"),
+            F.count_if(size != self.dim).alias("others"),
         ).first()
-        guard_source(written["points"], exists, allow_empty_first_run)
+        try:
+            guard_source(written["points"], exists, allow_empty_first_run)
+            if written["others"]:
+                raise ValueError(f"{written['others']} points have no vector of {self.dim} numbers")
+        except Exception:
+            delete_path(self.spark, path)
+            raise
         row = (run_id, now, path, self.vector, self.dim, written["points_in"], written["points"])
         append_row(self.spark, f"{self.root}/runs", self.RUNS, *row)
-        return written.asDict()
+        if before is not None:
+            delete_path(self.spark, before["path"])
+        return {"points_in": written["points_in"], "points": written["points"]}
 
 
 def point_filter(**fields: str) -> Column:
@@ -167,7 +179,10 @@ def _search(points: DataFrame, queries: list, k: int, point: str, vector: str, f
 
     def candidates(block: pa.RecordBatch):
         matrix = np.asarray(block.column(1).flatten(), dtype=np.float64).reshape(block.num_rows, -1)
-        sims = unit @ _unit(matrix).T
+        with np.errstate(invalid="ignore", over="ignore"):
+            sims = unit @ _unit(matrix).T
+        # A vector with an infinite or undefined number is similar to nothing.
+        sims = np.where(np.isfinite(sims), sims, -np.inf)
         if field:
             values = np.asarray(block.column(2).to_pylist(), dtype=wanted.dtype)
             sims = np.where(wanted[:, None] == values[None, :], sims, -np.inf)
@@ -178,8 +193,9 @@ def _search(points: DataFrame, queries: list, k: int, point: str, vector: str, f
         return query, np.array(block.column(0).take(pa.array(column)).to_pylist()), sims[query, column]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
+        best = kind_of = None
         for batch in batches:
+            kind_of = batch.schema.field(0).type
             for start in range(0, batch.num_rows, step):
                 found = candidates(batch.slice(start, step))
                 if len(found[0]) == 0:
@@ -189,12 +205,14 @@ def _search(points: DataFrame, queries: list, k: int, point: str, vector: str, f
         if best is not None:
             query, ids, sims = best
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names).take(pa.array(query)), pa.array(ids.tolist()), pa.array(sims)],
+                [pa.array(names).take(pa.array(query)), pa.array(ids.tolist(), kind_of), pa.array(sims)],
                 names=["query_id", point, "sim"],
             )
 
     columns = [point, vector] + ([field] if field else [])
     present = points.select(*columns).filter(" AND ".join(f"{c} is not null" for c in columns))
+    whole = F.forall(vector, lambda x: x.isNotNull())
+    present = present.filter((F.size(vector) == unit.shape[1]) & whole)
     kind = points.schema[point].dataType.simpleString()
     query_kind = {int: "bigint", str: "string"}[type(names[0])]
     return present.mapInArrow(scan, f"query_id {query_kind}, {point} {kind}, sim double")
@@ -214,13 +232,19 @@ def cosine_topk(
     that payload field of the points. Each task multiplies its Arrow batches
     with the query matrix and keeps k points per query; only those are
     shuffled. The query matrix is bounded by `QUERY_BYTES`: more queries mean
-    more passes over the points, never a larger broadcast.
+    more passes over the points, never a larger broadcast. Points whose vector
+    has another length or a null in it cannot be compared and are left out;
+    those with an infinite or undefined number are similar to nothing. Query
+    vectors must all have one length.
     """
     queries = queries.persist()
     try:
-        shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+        size = F.size("vector")
+        shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("dim"), F.min(size).alias("least")).first()
         if not shape["n"]:
             raise ValueError("no query vectors")
+        if shape["least"] != shape["dim"]:
+            raise ValueError(f"query vectors have {shape['least']} to {shape['dim']} numbers")
         passes = -(-shape["n"] * 8 * shape["dim"] // QUERY_BYTES)
         found = None
         for i in range(passes):

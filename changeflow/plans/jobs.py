@@ -90,7 +90,7 @@ def classify(
     reports: DataFrame,
     existing: DataFrame,
     out: str,
-    scope: cl.Scope = None,
+    scope: cl.Scope = cl.MISSING,
     scorer: cl.Scorer = cl.rule_scorer,
 ) -> dict[str, int]:
     """Score what the scope asks for and store the artefacts under `out`.
@@ -111,8 +111,12 @@ def classify(
 
 
 def call_attributes(reports: DataFrame, scored: DataFrame, attributes: Column) -> DataFrame:
-    """Trace attributes of the scored reports, with what each result adds."""
-    own = reports.select("dedup_key", attributes.alias("attributes"))
-    return own.join(scored.select("dedup_key", result_attributes().alias("result")), "dedup_key").select(
+    """Trace attributes of the scored reports, with what each result adds.
+
+    Report and result meet by the path of the conclusion: a key may have many
+    reports, a path has one.
+    """
+    own = reports.select("dedup_key", ar.checked_conclusion_path(F.col("path")).alias("path"), attributes.alias("attributes"))
+    return own.join(scored.select("path", result_attributes().alias("result")), "path").select(
         "dedup_key", F.map_concat("attributes", "result").alias("attributes")
     )

@@ -109,24 +109,6 @@ NOW = "timestamp '2024-02-01 00:00:00'"
 HOURS = f"""round((epoch_us({NOW}) - epoch_us(max(timestamp))) / 3.6e9, 6)"""
 
 
-def _digest(*parts: str) -> str:
-    joined = " || ':' || ".join(parts)
-    return f"cast(concat('0x', substr(md5({joined}), 1, 8)) AS bigint)"
-
-
-def _pick(values: list[str], field: str) -> str:
-    options = ", ".join(f"'{v}'" for v in values)
-    return f"([{options}])[{_digest(chr(39) + 'seed' + chr(39), chr(39) + field + chr(39), 'cast(account_id AS varchar)')} % {len(values)} + 1]"
-
-
-# Fixed values of the accounts table.
-STATUS = ["active", "blocked", "closed"]
-TIER = ["bronze", "silver", "gold"]
-REGIONS = [
-    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
-    "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
-]
-
 TABLE_CHANGES = {
     "last_op_per_key": _with("SELECT account_id, op, status, tier, region, balance FROM batch", OPS, _last("batch")),
     "op_mix": _with("SELECT op, count(*) AS n FROM batch GROUP BY op", OPS, _last("batch")),
@@ -147,7 +129,6 @@ TABLE_CHANGES = {
     "two_rounds": _with(f"SELECT {STATE} FROM r2", *ROUNDS),
     "state_as_of": _with(f"SELECT {STATE} FROM r2", *ROUNDS),
     "state_current": _with(f"SELECT {STATE} FROM r3", *ROUNDS),
-    "compaction": _with(f"SELECT {STATE} FROM r3", *ROUNDS),
     "adhoc_sql": _with(
         "SELECT region, count(*) AS n, round(sum(balance), 2) AS balance FROM r3 GROUP BY region", *ROUNDS
     ),
@@ -158,7 +139,7 @@ TABLE_CHANGES = {
     "cdf_stream": _with(
         _messages("r2", "'insert'", "2") + " UNION ALL " + _messages(f"r3_c WHERE {NOT_PRE}"), *ROUNDS
     ),
-    "hydrate_messages": _with(_messages("r2", "'hydrate'", "2"), *ROUNDS),
+    "hydrate_messages": _with(_messages("r3", "'hydrate'", "3"), *ROUNDS),
     "upsert_view": _with(VIEW_COLUMNS, *UPSERT),
     "upsert_stream": _with(VIEW_COLUMNS, *UPSERT),
     "origin_parity": _with("SELECT kind AS change_type, count(*) AS n FROM up GROUP BY kind", *UPSERT),
@@ -167,25 +148,12 @@ TABLE_CHANGES = {
     "maintenance_due": _with(
         f"SELECT {HOURS} AS hours, coalesce({HOURS} >= 1.0, true) AS due FROM history WHERE operation = 'OPTIMIZE'", HISTORY
     ),
-    # The compaction is version 3, so the third round commits as version 4.
-    "retention": _with(
-        "SELECT account_id, _commit_version + 1 AS commit_version, _change_type AS change_type FROM r3_c", *ROUNDS
-    ),
-    "create_table": _with("SELECT count(*) AS n, true AS created, false AS created_again FROM accounts_base", ACCOUNTS),
     "migrate_run": _with(
         "SELECT count(*) AS n, cast(2 AS bigint) AS applied, cast(0 AS bigint) AS applied_again FROM s1", *ONE
     ),
     "migrations_pending": """
         SELECT doc_id AS ord, md5(cast(doc_id AS varchar)) AS id FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "seed_accounts": _with(
-        f"""SELECT account_id, {_pick(STATUS, 'status')} AS status, {_pick(TIER, 'tier')} AS tier,
-               {_pick(REGIONS, 'region')} AS region,
-               {_digest("'seed'", "'balance'", 'cast(account_id AS varchar)')} % 1000001 / 100.0 AS balance
-        FROM ids""",
-        ("ids", "SELECT unnest(range(0, max(c_custkey) + 1)) AS account_id FROM customer"),
-    ),
-    "seed_check": "SELECT max(c_custkey) + 1 AS n, true AS ok FROM customer",
 }
 
 
@@ -569,6 +537,7 @@ INDEX = {
 # -- classification --------------------------------------------------------
 
 PENDING = "doc_id NOT IN (SELECT doc_id FROM labels)"
+FITS = "length(coalesce(verdict, '')) <= 300"
 CLASSIFIED = [
     *SECTIONS,
     (
@@ -578,7 +547,7 @@ CLASSIFIED = [
     (
         "scored",
         f"""SELECT r.doc_id, r.dedup_key, r.path, CASE WHEN s.text IS NULL THEN 'inconclusive' ELSE 'diagnosed' END AS outcome,
-              substr(trim(string_split(s.text, {NL})[1], {WS}), 1, 300) AS verdict,
+              trim(s.text, {WS}) AS verdict,
               CASE WHEN s.text IS NOT NULL THEN CASE c.word WHEN 'alta' THEN 'high' WHEN 'média' THEN 'medium' ELSE 'low' END END AS confidence,
               CASE WHEN s.text IS NULL THEN 'no cause section' END AS reason,
               CASE WHEN s.text IS NULL THEN 'no cause section' ELSE 'cause section present' END AS rationale
@@ -604,17 +573,23 @@ CLASSIFICATION = {
     "classify_pending": _with(f"SELECT dedup_key FROM reports WHERE {PENDING}", *REPORTS),
     "reclassify_scope": _with("SELECT dedup_key FROM reports WHERE namespace = 'src3'", *REPORTS),
     "classify_rule": _with(f"SELECT {FIELDS} FROM scored", *CLASSIFIED),
-    "classify_run": _with(f"SELECT {FIELDS} FROM scored WHERE {PENDING}", *CLASSIFIED),
+    "call_attrs": _with(
+        """SELECT dedup_key, attr, value FROM attrs
+           UNION ALL SELECT dedup_key, 'incident.outcome', outcome FROM scored
+           UNION ALL SELECT dedup_key, 'incident.confidence', confidence FROM scored WHERE confidence IS NOT NULL""",
+        *CLASSIFIED, ATTRS[-1],
+    ),
+    "classify_run": _with(f"SELECT {FIELDS} FROM scored WHERE {PENDING} AND {FITS}", *CLASSIFIED),
     "conclusion_write": _with(
         f"""SELECT {CONCLUSION_PATH} AS path, md5({_markdown(_finding(), 'dedup_key', 'outcome', 'rationale')}) AS digest
-            FROM scored WHERE {PENDING}
+            FROM scored WHERE {PENDING} AND {FITS}
             UNION ALL SELECT {CONCLUSION_PATH}, md5('old') FROM reports_raw WHERE doc_id IN (SELECT doc_id FROM labels)""",
         *CLASSIFIED,
     ),
     "classify_summary": _with(
-        f"""SELECT count(*) FILTER (WHERE {PENDING}) AS done, count(*) FILTER (WHERE NOT ({PENDING})) AS skipped,
-               cast(0 AS bigint) AS failed FROM reports""",
-        *REPORTS,
+        f"""SELECT count(*) FILTER (WHERE {PENDING} AND {FITS}) AS done, count(*) FILTER (WHERE NOT ({PENDING})) AS skipped,
+               count(*) FILTER (WHERE {PENDING} AND NOT ({FITS})) AS failed FROM scored""",
+        *CLASSIFIED,
     ),
     "trace_attrs": _with("SELECT dedup_key, attr, value FROM attrs", *ATTRS),
     "domain_attrs": _with(

@@ -21,13 +21,13 @@ from changeflow.operators import artefacts as ar
 from changeflow.operators import changes as ch
 from changeflow.operators import classify as cl
 from changeflow.operators import costs
-from changeflow.operators import generate as gen
 from changeflow.operators import index as ix
 from changeflow.operators import maintain as mt
 from changeflow.operators import messages as ms
 from changeflow.operators import migrate as mg
 from changeflow.operators import points as pt
 from changeflow.operators import reports as rp
+from changeflow.plans import jobs
 from changeflow.session import work_dir
 from changeflow.sources import documents as docs
 from changeflow.sources import views
@@ -181,7 +181,7 @@ def cdf_stream(spark, sf):
 
 
 def hydrate_messages(spark, sf):
-    log = _log(spark, sf, ROUNDS[:2])
+    log = _log(spark, sf)
     out = work_dir(spark, "topic")
     feed.hydrate(log, feed.folder_sink(out))
     return _message_columns(ms.parse_messages(_messages(spark, out)))
@@ -218,7 +218,7 @@ def origin_parity(spark, sf):
     return ms.origin_parity(view).withColumnRenamed("_change_type", "change_type")
 
 
-# -- maintenance, migrations, generation -----------------------------------
+# -- maintenance, migrations -----------------------------------------------
 
 
 def _history(spark, sf):
@@ -244,71 +244,6 @@ def maintenance_due(spark, sf):
     return clock.select(F.round("hours", 6).alias("hours"), "due")
 
 
-def compaction(spark, sf):
-    log = _log(spark, sf)
-    log.compact(at(4))
-    return log.read().select(*STATE)
-
-
-def retention(spark, sf):
-    """Compacted after round 2, then round 3; the vacuum keeps the last six hours."""
-    log = _log(spark, sf, ROUNDS[:2])
-    log.compact(at(2.5))
-    log.merge(_round(spark, sf, 3), at(7))
-    floor = log.vacuum(at(9), 6)
-    return log.changes(floor + 1).select(
-        "account_id", F.col("_commit_version").alias("commit_version"), F.col("_change_type").alias("change_type")
-    )
-
-
-def table_detail(spark, sf):
-    log = _log(spark, sf)
-    log.compact(at(4))
-    return log.detail()
-
-
-def create_table(spark, sf):
-    """Declared twice, filled once: the second declaration does nothing."""
-    log = TableLog(spark, work_dir(spark, "accounts"))
-    first, second = log.create(), log.create()
-    log.append(_base(spark, sf), at(0))
-    return log.read().agg(
-        F.count(F.lit(1)).alias("n"), F.lit(first).alias("created"), F.lit(second).alias("created_again")
-    )
-
-
-def _seed_ids(spark, sf):
-    """0 up to the greatest customer key."""
-    top = ch.max_key(views.table(spark, sf, "customer"), "c_custkey").first()["m"]
-    return spark.range(0, top + 1).withColumnRenamed("id", "account_id"), top + 1
-
-
-def seed_accounts(spark, sf):
-    ids, _ = _seed_ids(spark, sf)
-    return gen.seed_accounts(ids, F.lit(NOW)).select("account_id", "status", "tier", "region", "balance")
-
-
-def seed_check(spark, sf):
-    log = TableLog(spark, work_dir(spark, "accounts"))
-    log.create()
-    _, n = _seed_ids(spark, sf)
-    gen.seed_if_empty(log, n, NOW)
-    gen.seed_if_empty(log, n, NOW)  # a filled table is left alone
-    return gen.count_check(log.read(), n)
-
-
-def skewed_keys(spark, sf):
-    """As many draws as there are events, over the keys of the customers."""
-    n = _ops(spark, sf).count()
-    return gen.skewed_keys(spark, n, ch.max_key(_base(spark, sf)).first()["m"])
-
-
-def change_batch(spark, sf):
-    n = _ops(spark, sf).count()
-    batch = gen.change_batch(spark, ch.max_key(_base(spark, sf)).first()["m"], 1, F.lit(NOW), n)
-    return batch.select("seq", "account_id", "op", "status", "tier", "region", "balance")
-
-
 def migrations_pending(spark, sf):
     """Documents as the registry, labelled ones as applied."""
     registry = views.table(spark, sf, "documents").select(
@@ -629,7 +564,7 @@ def classify_pending(spark, sf):
 
 
 def reclassify_scope(spark, sf):
-    scope = cl.parse_scope(["namespace=src3"])
+    scope = cl.Scope(namespace="src3")
     return cl.select_reports(_reports(spark, sf), _existing(spark, sf), scope).select("dedup_key")
 
 
@@ -637,6 +572,13 @@ def classify_rule(spark, sf):
     return cl.score(_reports(spark, sf)).select("dedup_key", "outcome", "verdict", "confidence")
 
 
+def call_attrs(spark, sf):
+    """Attributes of all calls: each report's own and what its result adds."""
+    reports = _reports(spark, sf)
+    rows = jobs.call_attributes(reports, cl.score(reports), costs.trace_attributes(RUN_ID))
+    return rows.select("dedup_key", F.explode("attributes").alias("attr", "value"))
+
+
 def _run(spark, sf):
     return cl.score(cl.select_reports(_reports(spark, sf), _existing(spark, sf)))
 
@@ -689,14 +631,13 @@ QUERIES: dict[str, Query] = {
     for q in (
         last_op_per_key, op_mix, max_key, dup_keys, batch_diff, merge_round, change_rows, two_rounds,
         state_as_of, state_current, adhoc_sql, cdf_messages, cdf_stream, hydrate_messages, upsert_view,
-        upsert_stream, origin_parity, history_head, hours_since_op, maintenance_due, compaction, retention,
-        table_detail, create_table, seed_accounts, seed_check, skewed_keys, change_batch,
+        upsert_stream, origin_parity, history_head, hours_since_op, maintenance_due,
         migrations_pending, migrate_run, scan_reports, front_matter, unquote, quote_roundtrip, report_body,
         report_skips, reports_parsed, mirror_path, conclusions_valid, confirmations_valid,
         conclusion_markdown, conclusion_roundtrip, enriched_reports, enrichment_stats, orphans,
         points_whole, sections, points_sections, heading_norm, point_ids, embed_hash, index_upsert,
         index_gc, reconcile, schema_guard, cosine_topk, filtered_topk, point_filter, classify_pending,
-        reclassify_scope, classify_rule, classify_run, conclusion_write, classify_summary, run_metrics,
+        reclassify_scope, call_attrs, classify_rule, classify_run, conclusion_write, classify_summary, run_metrics,
         trace_attrs, domain_attrs, cost_per_session, flagship,
     )
 }

@@ -18,6 +18,7 @@ def local_session(cpus: int | str = 8, app: str = "changeflow", memory: str = "1
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
+        .config("spark.changeflow.textPartitions", str(cpus))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # Do not trace the Python line of every column expression.
@@ -31,10 +32,17 @@ def local_session(cpus: int | str = 8, app: str = "changeflow", memory: str = "1
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where `spark.checkpoint.dir` is unset (a laptop, a unit test) does
-    this fall back to a local temporary folder.
+    A session on one machine (`local[n]`) that does not set
+    `spark.checkpoint.dir` gets that machine's temporary folder. On a cluster
+    every executor would write to a disk of its own without any error, so a
+    missing setting is one there.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return tempfile.gettempdir()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

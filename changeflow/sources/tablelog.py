@@ -106,8 +106,25 @@ class TableLog:
     # -- writes ------------------------------------------------------------
 
     def append(self, rows: DataFrame, now: datetime) -> int:
-        """Add rows with new keys. The first append doubles as a whole state."""
+        """Add rows with new keys. The first append doubles as a whole state.
+
+        A key that the table holds already, or that comes twice, is an error:
+        neither row could be kept beside the other.
+        """
         head = self.head()
+        rows = rows.persist()
+        try:
+            return self._append(rows, head, now)
+        finally:
+            rows.unpersist()
+
+    def _append(self, rows: DataFrame, head: Row | None, now: datetime) -> int:
+        twice = ch.dup_keys(rows, self.key).select(self.key)
+        if head is not None:
+            held = self._state_at(head).join(rows.select(self.key), self.key, "left_semi").select(self.key)
+            twice = twice.unionByName(held)
+        if known := twice.limit(5).collect():
+            raise ValueError(f"{self.root} cannot take a key twice: {', '.join(str(r[0]) for r in known)}")
         version = 0 if head is None else head["version"] + 1
         path = self._data_path("log", version)
         ch.as_inserts(rows.select(*self.schema.fieldNames()), version, F.lit(now)).write.parquet(path)

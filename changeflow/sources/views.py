@@ -6,6 +6,8 @@ check start from the same definition.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 WHERE c_mktsegment <> 'BUILDING'
 """
 
+# Customers of the segment that the base leaves out enter as inserts, before all events.
 ACCOUNT_OPS = """
 SELECT event_id AS seq,
        cast(least(floor((extract(day from ts) - 1) / 10) + 1, 3) AS bigint) AS round_no,
@@ -39,8 +42,15 @@ SELECT event_id AS seq,
        value AS balance,
        ts AS updated_at
 FROM events
+UNION ALL
+SELECT -1 - c_custkey, cast(1 AS bigint), c_custkey, 'insert',
+       CASE WHEN c_acctbal < 0 THEN 'blocked' ELSE 'active' END, 'bronze', n_name, c_acctbal,
+       timestamp '2023-12-31 00:00:00'
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE c_mktsegment = 'BUILDING'
 """
 
+# The sections of a report hold a fifth of the text each; of a repeated section the last one counts.
 REPORTS_RAW = """
 SELECT doc_id,
   concat('triage/', source, '/Alert', cast(doc_id % 7 AS string), '/2026__', md5(cast(doc_id AS string)), '.md') AS path,
@@ -62,16 +72,17 @@ SELECT doc_id,
       'confirmation: confirmed', '---', '',
       'Preamble prose to drop.', '', '---', '',
       concat('# Triagem: Alert', cast(doc_id % 7 AS string), ' ', chr(96), 'svc', chr(96)), '',
-      CASE WHEN doc_id % 3 = 0 THEN '## SINTOMAS' ELSE '## Sintoma' END, text, '',
-      CASE WHEN doc_id % 3 = 1 THEN '## Evidencia' ELSE '## Evidência' END, substr(text, 201, 300),
+      CASE WHEN doc_id % 3 = 0 THEN '## SINTOMAS' ELSE '## Sintoma' END,
+      CASE WHEN doc_id % 11 = 0 THEN 'first symptom loses' ELSE substr(text, 1, fifth) END, '',
+      CASE WHEN doc_id % 3 = 1 THEN '## Evidencia' ELSE '## Evidência' END, substr(text, 1 + fifth, fifth),
       concat(chr(96), chr(96), chr(96)), '## not a heading', 'kubectl get pods', concat(chr(96), chr(96), chr(96)),
-      '### Nested', substr(text, 501, 100), '',
-      '## Causa provável', substr(text, 601, 200), '',
-      CASE WHEN doc_id % 3 = 2 THEN '## Próximos Passos' ELSE '## Próximo passo' END, substr(text, 801, 200), '',
-      CASE WHEN doc_id % 11 = 0 THEN concat_ws(chr(10), '## Sintoma', 'second symptom wins', '') ELSE '' END,
+      '### Nested', substr(text, 1 + 2 * fifth, fifth), '',
+      '## Causa provável', substr(text, 1 + 3 * fifth, fifth), '',
+      CASE WHEN doc_id % 3 = 2 THEN '## Próximos Passos' ELSE '## Próximo passo' END, substr(text, 1 + 4 * fifth), '',
+      CASE WHEN doc_id % 11 = 0 THEN concat_ws(chr(10), '## Sintoma', substr(text, 1, fifth), '') ELSE '' END,
       '## Confiança', CASE doc_id % 4 WHEN 0 THEN 'Alta.' WHEN 1 THEN 'Média.' WHEN 2 THEN 'Baixa.' ELSE '' END)
   END AS content
-FROM documents
+FROM (SELECT *, cast(floor(length(text) / 5) AS int) AS fifth FROM documents) AS parts
 """
 
 CONCLUSIONS_RAW = """
@@ -122,7 +133,7 @@ GROUP BY extract(day from ts)
 
 VIEWS = {
     "accounts_base": (ACCOUNTS_BASE, ("customer", "nation")),
-    "account_ops": (ACCOUNT_OPS, ("events",)),
+    "account_ops": (ACCOUNT_OPS, ("events", "customer", "nation")),
     "reports_raw": (REPORTS_RAW, ("documents",)),
     "conclusions_raw": (CONCLUSIONS_RAW, ("labels",)),
     "confirmations_raw": (CONFIRMATIONS_RAW, ("labels",)),
@@ -141,24 +152,17 @@ SCHEMAS = {
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 
-# Tables of long texts, read for parsing.
+# Tables of long texts, read for parsing. A session may name a number of partitions for them, which are else
+# those of the files: a single small file is one task otherwise.
 TEXTS = ("documents",)
+TEXT_PARTITIONS = "spark.changeflow.textPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     frame = reader.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(frame) if name in TEXTS else frame
-
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Give every core work where a small input has fewer files than that.
-
-    Parsing costs far more than moving a small input. An input with at least
-    one split per core, as any large one has, is left as it is.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    parts = spark.conf.get(TEXT_PARTITIONS, None) if name in TEXTS else None
+    return frame.repartition(int(parts)) if parts else frame
 
 
 def register(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
@@ -169,8 +173,9 @@ def register(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql, tables = VIEWS[name]
-    register(spark, {t: table(spark, sf_dir, t) for t in tables})
-    frame = spark.sql(sql)
+    # Frames are passed by name, so views of two folders in one session do not meet.
+    named = re.sub(r"\b(FROM|JOIN) (\w+)", r"\1 {\2}", sql.replace("{", "{{").replace("}", "}}"))
+    frame = spark.sql(named, **{t: table(spark, sf_dir, t) for t in tables})
     for column, kind in frame.dtypes:
         if kind == "timestamp_ntz":
             frame = frame.withColumn(column, F.col(column).cast("timestamp"))

@@ -23,6 +23,9 @@ Sink = Callable[[DataFrame, int], None]
 
 SNAPSHOT_BATCH = -1
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def folder_sink(path: str, fmt: str = "parquet") -> Sink:
     """Messages in one folder per batch: a repeated batch replaces itself."""
@@ -124,7 +127,19 @@ def upsert_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQu
 
     A stateful aggregation: the state store holds one row per key, late and
     repeated messages lose by version. Each batch writes the keys it changed.
+    One row per key for ever does not fit into executors' memory, so the state
+    is kept by RocksDB on their disks, whatever the session's provider is.
     """
+    conf = messages.sparkSession.conf
+    before = conf.get(PROVIDER)
+    conf.set(PROVIDER, ROCKSDB)
+    try:
+        return _upsert_stream(messages, out, checkpoint)
+    finally:
+        conf.set(PROVIDER, before)  # the started query keeps what it was started with
+
+
+def _upsert_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     newest = ms.newest_message(ms.parse_messages(messages))
 
     def write(rows: DataFrame, batch: int) -> None:

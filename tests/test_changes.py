@@ -346,3 +346,42 @@ def test_topic_sink_on_a_processing_time_trigger(spark):
     topic = ms.parse_messages(spark.read.schema("key string, value string").json(out))
     assert as_dict(ms.upsert_view(topic)) == as_dict(log.read())
     assert {r[0] for r in topic.select("_change_type").distinct().collect()} > {"insert", "hydrate"}
+
+
+def test_append_refuses_keys_it_could_not_keep(spark):
+    log = TableLog(spark, work_dir(spark, "t"))
+    rows = seed_rows(spark, 5)
+    with pytest.raises(ValueError, match="twice"):
+        log.append(rows.unionByName(rows), T0)
+    log.append(rows, T0)
+    with pytest.raises(ValueError, match="twice"):
+        log.append(rows.limit(2), at(1))
+    assert log.read().count() == rows.count()
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from changeflow.session import shared_dir
+
+    def session(master, named=None):
+        conf = SimpleNamespace(get=lambda key, default=None: named or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(session("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_dir(session("local[4]"))
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+
+
+def test_upsert_state_is_kept_by_rocksdb(spark):
+    topic, out, cp = (work_dir(spark, n) for n in ("topic", "view", "cp"))
+    log = TableLog(spark, work_dir(spark, "t"))
+    log.append(seed_rows(spark, 5), T0)
+    feed.ms.change_messages(log.changes()).write.parquet(topic)
+    before = spark.conf.get(feed.PROVIDER)
+    query = feed.upsert_stream(spark.readStream.schema("key string, value string").parquet(topic), out, cp)
+    query.awaitTermination()
+    names = [k for k in query.lastProgress["stateOperators"][0]["customMetrics"] if k.startswith("rocksdb")]
+    assert names and spark.conf.get(feed.PROVIDER) == before

@@ -51,9 +51,9 @@ def test_classify_then_index(spark, root, tmp_path):
     again = work_dir(spark, "classify")
     assert jobs.classify(reports, first, again) == {"done": 0, "skipped": 3, "failed": 0}
     scoped = work_dir(spark, "classify")
-    assert jobs.classify(reports, first, scoped, ("dedup-key", "aaa")) == {"done": 1, "skipped": 2, "failed": 0}
+    assert jobs.classify(reports, first, scoped, cl.Scope(dedup_key="aaa")) == {"done": 1, "skipped": 2, "failed": 0}
     with pytest.raises(RuntimeError, match="no report matches"):
-        jobs.classify(reports, first, work_dir(spark, "classify"), ("dedup-key", "zzz"))
+        jobs.classify(reports, first, work_dir(spark, "classify"), cl.Scope(dedup_key="zzz"))
 
     # The artefacts, written as files, are what the index job reads.
     for row in spark.read.parquet(f"{scoped}/conclusions").collect():
@@ -120,3 +120,9 @@ def test_result_attributes(spark, root):
     got = {r["dedup_key"]: r["attributes"] for r in rows}
     assert got["aaa"]["incident.outcome"] == ar.DIAGNOSED and got["aaa"]["incident.confidence"] == "high"
     assert got["aaa"]["trace.trace.name"] == "classify:Down"
+
+
+def test_call_attributes_meet_by_path(spark):
+    rows = [(f"triage/{i}.md", "---\ndedup_key: same\nnamespace: n\n---\n## Causa\nx") for i in range(20)]
+    reports = rp.reports(spark.createDataFrame(rows, "path string, content string"))
+    assert jobs.call_attributes(reports, cl.score(reports), costs.trace_attributes("r1")).count() == 20
