@@ -37,7 +37,7 @@ NUMERATOR, DENOMINATOR = 75, 100  # the least similarity
 BUCKET_CHARS = 60_000_000  # characters of text whose prefix shingles meet in one bucket
 BATCH_CHARS, BATCH_DOCS = 4_000_000, 60_000  # texts whose shingles are sorted together
 BROADCAST_ROWS = 1_000_000  # document keys (16 bytes) sent to all executors, at most; more are joined by shuffle
-ROUNDS = 3  # comparisons with central documents before pairs are enumerated
+ROUNDS = 4  # comparisons with central documents before pairs are enumerated
 SEVERAL = 0xFFFF
 
 
@@ -107,7 +107,8 @@ def _prefixes(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, rows, size = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for cells in zip(*batch.columns, strict=True):
+                row = tuple(c.as_py() for c in cells)
                 rows.append(row)
                 size += len(row[2] or "")
                 if size >= BATCH_CHARS or len(rows) >= BATCH_DOCS:
@@ -120,21 +121,28 @@ def _prefixes(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Per document, how many of its shingles in this bucket also came from another batch.
+    """Per batch, the documents whose shingles in this bucket also came from another batch, as often as they did.
 
     Thirty-two bits and the bucket tell shingles apart here; a rare false match
     only lets a document stay that could have left.
     """
-    sizes = [len(f) // 4 for f in rows["fps"]]
+    edges = np.cumsum([0, *(len(f) // 4 for f in rows["fps"])])
     prints = np.frombuffer(b"".join(rows["fps"]), "<u4")
-    refs = np.frombuffer(b"".join(rows["refs"]), "<u2").astype(np.int64)
-    owner = np.where(refs == SEVERAL, -1, refs + np.repeat(rows["base"].to_numpy(), sizes))
+    refs = np.frombuffer(b"".join(rows["refs"]), "<u2")
     order = np.argsort(prints, kind="stable")
     equal = prints[order][1:] == prints[order][:-1]
-    twin = np.append(equal, False) | np.append(False, equal)
-    found = owner[order][twin[: len(order)]]
-    rn, n = np.unique(found[found >= 0], return_counts=True)
-    return pd.DataFrame({"rn": rn, "hits": n})
+    twin = np.zeros(len(prints), bool)
+    twin[order] = (np.append(equal, False) | np.append(False, equal))[: len(order)]
+    twin &= refs != SEVERAL
+    parts = [refs[lo:hi][twin[lo:hi]].tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+    return pd.DataFrame({"base": rows["base"], "refs": parts})[[len(x) > 0 for x in parts]]
+
+
+def _counted(rows: pd.DataFrame) -> pd.DataFrame:
+    """`rn, hits` of one batch's documents from what all buckets found."""
+    hits = np.bincount(np.frombuffer(b"".join(rows["refs"]), "<u2"))
+    at = np.flatnonzero(hits)
+    return pd.DataFrame({"rn": int(rows["base"].iloc[0]) + at, "hits": hits[at]})
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -227,9 +235,17 @@ def _orders(cores: DataFrame) -> DataFrame:
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Bounds from the sizes alone: as many shared shingles as one of them has are not enough."""
-    low, n = F.least(f"{a}.m", f"{b}.m"), F.col(f"{a}.n") + F.col(f"{b}.n")
-    return DENOMINATOR * low >= NUMERATOR * (n - low)
+    """Whether the rows `a, b` of one shingle may be where two similar documents meet first.
+
+    Bounds from sizes: what one of them shares with anyone must be enough; and
+    if this is the first shingle they have in common, then so must be what
+    stands from here on in both. It is not the first one if the shingles
+    before it are the same, so a pair has few rows of the many it could have.
+    """
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+    rest = F.least(f"{a}.m", f"{b}.m", F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
+    same = F.coalesce(F.col(f"{a}.prior") == F.col(f"{b}.prior"), F.lit(False))
+    return (DENOMINATOR * rest >= NUMERATOR * (n - rest)) & ~same
 
 
 def _verify(pairs: DataFrame, cores: DataFrame) -> DataFrame:
@@ -247,15 +263,20 @@ def _verify(pairs: DataFrame, cores: DataFrame) -> DataFrame:
 def _links(cores: DataFrame) -> DataFrame:
     """Links `a, b` with the components of the similarity graph over `node, n, least, shared`."""
     spark = cores.sparkSession
-    sized = cores.select("node", "n", F.size("shared").cast("long").alias("m"), F.col("rare").alias("tokens"))
-    held = sized.select("node", "n", "m", F.explode("tokens").alias("token"))
+    sized = cores.select("node", "n", F.size("shared").cast("long").alias("m"), "rare")
+    held = sized.select("node", "n", "m", "rare", F.posexplode("rare").alias("i", "token")).select(
+        "node", "n", "m", "token",
+        (F.col("n") - F.col("m") + F.col("i")).alias("at"),  # behind all shingles of its own
+        F.get("rare", F.col("i") - 1).alias("prior"),
+    )
     links = spark.createDataFrame([], "a long, b long")
     tried, component = links, None
-    for _ in range(ROUNDS):
-        spots = _spots(held, component)
-        # Of the documents that share a shingle, the one with the fewest shingles of its own is likest to all.
-        centre = F.struct((1 - F.col("m") / F.col("n")).alias("alone"), "node", "n", "m", "component")
-        rough = spots.select("token", "node", "n", "m", "component")
+    for turn in range(ROUNDS):
+        rough = _spots(held, component)
+        # Of the documents that share a shingle, the one with the fewest shingles of its own is likest to all. Those
+        # that it is not like meet others in later rounds.
+        first = F.xxhash64("node", F.lit(turn)) if turn else (1 - F.col("m") / F.col("n"))
+        centre = F.struct(first.alias("alone"), "node", "n", "m", "at", "prior", "component")
         best = rough.groupBy("token").agg(F.min(centre).alias("c"))
         pairs = rough.alias("x").join(best.select("token", "c.*").alias("c"), "token")
         pairs = pairs.filter((F.col("x.component") != F.col("c.component")) & _may_match("x", "c"))
@@ -315,8 +336,8 @@ def _members(docs: DataFrame) -> DataFrame:
     every = first.filter("docs is not null").select(F.inline("docs"))
     hits = (
         first.filter("bucket is not null").select("bucket", "base", "fps", "refs")
-        .groupBy("bucket").applyInPandas(_shared, "rn long, hits long")
-        .groupBy("rn").agg(F.sum("hits").alias("hits"))
+        .groupBy("bucket").applyInPandas(_shared, "base long, refs binary")
+        .groupBy("base").applyInPandas(_counted, "rn long, hits long")
     )
     stays = every.join(hits, "rn", "left").filter(
         (F.col("n") > 0) & (F.col("known") + F.coalesce("hits", F.lit(0)) >= F.col("least"))
