@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from changeflow.session import work_dir
 
-ARCHIVE_BYTES = 64 * 1024 * 1024  # an archive is closed behind the record that reaches this size
+ARCHIVE_BYTES = 64 * 1024 * 1024  # an archive is closed behind the record that reaches this size, waiting ones included
 SAMPLE_BYTES = 1024 * 1024  # first records of an archive that its dictionary is trained on
 DICTIONARY = 32 * 1024
 LEVEL = 3
@@ -144,7 +144,7 @@ class Archive:
             self._put(struct.pack("<II", DICTIONARY_MAGIC, len(packed)) + packed)
         for data in self.waiting:
             self._put(self.compressor.compress(data))
-        self.waiting = []
+        self.waiting, self.held = [], 0
 
     def close(self) -> None:
         if self.compressor is None:
@@ -173,7 +173,7 @@ def write(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, date
                     path = f"{root}/{name}"
                     archive = Archive(store.open_output_stream(path))
                 archive.add(record(page_id, url, payload.encode(), kind, refers_to, date))
-                if archive.size >= archive_bytes:
+                if archive.size + archive.held >= archive_bytes:
                     archive.close()
                     done.append((f"{folder}/{name}", archive.records, archive.size))
                     archive = None
