@@ -25,7 +25,7 @@ from changeflow.session import work_dir
 LIMIT = 2048
 END_ID = 1
 GROUP_DOCS = 2048  # expected documents of a group
-BLOCK = 3_000_000  # characters of text that are encoded at a time
+BLOCK = 1_000_000  # characters of text that are encoded at a time, with about 70 bytes of arrays each
 CACHE = 1_000_000  # chunks that a worker remembers between blocks, about 50 bytes each
 TOKENIZER = "byte_bpe_50k.json"
 SPECIAL = "<|endoftext|>"
@@ -100,11 +100,27 @@ class Encoder:
             start = end
 
     def _tails(self, tails: list[bytes]) -> tuple[np.ndarray | None, list[int]]:
-        """Ids of all texts' rests, each empty or starting with a space, and where each text's ids end."""
-        data = np.frombuffer(b"".join(tails), np.uint8)
+        """Ids of all texts' rests, each empty or starting with a space, and where each text's ids end.
+
+        Worked on in slices of about `BLOCK` bytes that start with a space, so a
+        very long text takes no more memory than many short ones.
+        """
+        data, stops = b"".join(tails), np.cumsum([len(t) for t in tails])
+        ids, ends, start, n = [np.zeros(0, np.uint32)], np.zeros(len(tails), np.int64), 0, 0
+        while start < len(data):
+            cut = data.find(b" ", start + BLOCK)
+            stop = cut if cut >= 0 else len(data)
+            found = self._slice(np.frombuffer(data, np.uint8, stop - start, start), stops - start)
+            if found is None:
+                return None, [0] * len(tails)
+            ends = np.where(stops > start, n + found[1], ends)
+            ids.append(found[0])
+            n, start = n + len(found[0]), stop
+        return np.concatenate(ids), ends.tolist()
+
+    def _slice(self, data: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of bytes that start with a space, and how many of them lie before each stop; None if hashes clash."""
         n = len(data)
-        if not n:
-            return np.zeros(0, np.uint32), [0] * len(tails)
         if len(self.powers) < n:  # powers of an odd number, and of its inverse modulo 2^64
             base = 0x9E3779B97F4A7C15
             self.powers = np.cumprod(np.full(n, base, np.uint64))
@@ -119,15 +135,14 @@ class Encoder:
         same = np.repeat(starts[first][which] - starts, lengths)
         same += at
         if (lengths[first][which] != lengths).any() or (data[np.minimum(same, n - 1)] != data).any():
-            return None, [0] * len(tails)  # two chunks of one hash
+            return None  # two chunks of one hash
         place = self._learn(keys, starts[first], lengths[first], data, at)
         if place is None:
-            return None, [0] * len(tails)
+            return None
         each = self.counts[place][which]
         ends = np.cumsum(each)
         found = self.pool[np.repeat(self.begins[place][which] - (ends - each), each) + np.arange(ends[-1])]
-        chunks = np.searchsorted(starts, np.cumsum([len(t) for t in tails]))
-        return found, np.append(0, ends)[chunks].tolist()
+        return found, np.append(0, ends)[np.searchsorted(starts, stops)]
 
     def _forget(self) -> None:
         """Remembered chunks: hash (sorted), size in bytes, and where their ids lie in the pool."""
