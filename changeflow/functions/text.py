@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import unicodedata
 from collections.abc import Callable
 
@@ -114,31 +115,60 @@ def quote(text: Column) -> Column:
     return F.concat(F.lit(QUOTE), text, F.lit(QUOTE))
 
 
-def _plain_letters() -> tuple[str, str]:
-    """Letters whose compatibility decomposition, marks removed, is one letter."""
-    source, target = [], []
-    for code in range(0x80, 0x10000):
+def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
+    """What compatibility decomposition, marks removed, makes of single characters: one letter, or none or several."""
+    one, several = {}, {}
+    for code in [*range(0x80, 0xD800), *range(0xE000, sys.maxunicode + 1)]:
         char = chr(code)
-        if 0xD800 <= code <= 0xDFFF or unicodedata.combining(char):
-            continue
-        plain = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        )
-        if len(plain) == 1 and plain != char:
-            source.append(char)
-            target.append(plain)
-    return "".join(source), "".join(target)
+        plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if plain != char and not (0xAC00 <= code <= 0xD7A3 or unicodedata.category(char) == "Mn"):
+            (one if len(plain) == 1 else several)[char] = plain
+    return one, several
 
 
-_ACCENTED, _PLAIN = _plain_letters()
+_ONE, _SEVERAL = _decompositions()
+_HANGUL = (0x1100, 0x1161, 0x11A7)  # first jamo of each kind; syllables are composed of them by rule
+_SEVERAL_CLASS = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in _SEVERAL) + r"\x{AC00}-\x{D7A3}]"
+
+
+def _syllable(char: Column) -> Column:
+    """The two or three jamo of a Hangul syllable."""
+    n = F.conv(F.hex(F.encode(char, "UTF-16BE")), 16, 10).cast("int") - 0xAC00
+    lead, vowel, tail = (F.floor(n / 588), F.floor(n % 588 / 28), n % 28)
+
+    def jamo(first: int, step: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(F.lit(first) + step.cast("int")), 4, "0")), "UTF-16BE")
+
+    l, v, t = _HANGUL
+    return F.concat(jamo(l, lead), jamo(v, vowel), F.when(tail > 0, jamo(t, tail)).otherwise(""))
+
+
+def _expanded(text: Column) -> Column:
+    """Characters that decompose into several letters, such as ligatures, letter by letter."""
+    # One literal that Spark folds into a map; a call per entry would make every plan slow to build.
+    table = F.str_to_map(F.lit("\x02".join(f"{c}\x01{v}" for c, v in _SEVERAL.items())), F.lit("\x02"), F.lit("\x01"))
+
+    def letters(c: Column) -> Column:
+        plain = c.rlike(r"[\x00-\x7F]")
+        syllable = (c >= chr(0xAC00)) & (c <= chr(0xD7A3))
+        return F.when(plain, c).when(syllable, _syllable(c)).otherwise(F.coalesce(F.try_element_at(table, c), c))
+
+    return F.array_join(F.transform(F.split(text, ""), letters), "")
+
+
+@functools.cache
+def _singles() -> tuple[str, str]:
+    return "".join(_ONE), "".join(_ONE.values())
 
 
 def without_accents(text: Column) -> Column:
-    """Drop accents. Letters that decompose into several letters stay as they are."""
-    marks_gone = F.regexp_replace(text, r"\p{Mn}+", "")
-    # Pure ASCII, the usual case, needs no character map.
-    return F.when(F.length(text) == F.octet_length(text), text).otherwise(
-        F.translate(marks_gone, _ACCENTED, _PLAIN)
+    """Compatibility decomposition without marks: accents go, ligatures and styled letters become plain ones."""
+    # Most headings are ASCII, and hardly any needs more than a character map.
+    mapped = F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), *_singles())
+    return (
+        F.when(F.length(text) == F.octet_length(text), text)
+        .when(text.rlike(_SEVERAL_CLASS), F.translate(_expanded(F.regexp_replace(text, r"\p{Mn}+", "")), *_singles()))
+        .otherwise(mapped)
     )
 
 

@@ -1,3 +1,4 @@
+import unicodedata
 import textwrap
 
 from hypothesis import given, settings
@@ -50,7 +51,10 @@ def test_heading_names(values):
         "Causas  Prováveis": "causa provavei",
         "Próximos Passos": "proximo passo",
         "s": "",
-        "ﬁm": "ﬁm",
+        "ﬁm": "fim",
+        "𝐂𝐚𝐮𝐬𝐚 Ⅷ": "causa viii",
+        "ﷺ": unicodedata.normalize("NFKD", "ﷺ"),
+        "한국": unicodedata.normalize("NFKD", "한국"),
         "": "",
     }
     assert values(list(cases), lambda c: tx.heading_name(F.col(c))) == list(cases.values())
