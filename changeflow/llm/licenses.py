@@ -78,16 +78,19 @@ def shingles(text: Column) -> Column:
     return F.transform(F.array(words), chained)[0]
 
 
-def bands(hashes: str, stride: int) -> Column:
-    """The distinct band keys of all windows over the column `hashes`: the least hash of a window under each seed."""
-    seeds = F.array(*[F.lit(s) for s in range(BANDS)])
+def bands(texts: DataFrame, stride: int) -> DataFrame:
+    """The band keys of all windows over the column `hashes`, one row each: a window's least hash under each seed.
 
-    def keys(window: Column) -> Column:
-        return F.transform(seeds, lambda s: F.array_min(F.transform(window, lambda x: F.xxhash64(x, s))))
-
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes), F.lit(1)), F.lit(stride))
-    windows = F.transform(starts, lambda i: F.slice(F.col(hashes), i, F.lit(WINDOW)))
-    return F.array_compact(F.array_distinct(F.flatten(F.transform(windows, keys))))
+    Windows and seeds are rows that live inside one generated loop, not arrays:
+    nothing is materialised before the keys are joined. An outer explode keeps
+    the optimizer from computing the shingles once more in a filter.
+    """
+    starts = F.when(F.size("hashes") > 0, F.sequence(F.lit(0), F.size("hashes") - 1, F.lit(stride)))
+    windows = texts.withColumn("start", F.explode_outer(starts))
+    seeded = windows.withColumn("seed", F.explode_outer(F.array(*[F.lit(s) for s in range(BANDS)])))
+    inside = [F.get("hashes", F.col("start") + i) for i in range(WINDOW)]
+    key = F.least(*[F.when(x.isNotNull(), F.xxhash64(x, "seed")) for x in inside])
+    return seeded.withColumn("key", key).drop("hashes", "start", "seed")
 
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
@@ -117,9 +120,9 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("th", F.xxhash64("text"))
     known = templates.select("template", shingles(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
     known = _written(known, "templates")
-    keys = _written(known.select("template", F.explode(bands("hashes", 1)).alias("key")).distinct(), "keys")
-    texts = docs.select("doc_id", "th", shingles(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
-    met = texts.select("doc_id", "th", F.explode(bands("hashes", STRIDE)).alias("key")).join(_small(keys), "key")
+    keys = _written(bands(known, 1).distinct(), "keys")
+    texts = docs.select("doc_id", "th", shingles(F.col("text")).alias("hashes"))
+    met = bands(texts, STRIDE).join(_small(keys), "key")
     hits = _written(met.select("doc_id", "th", "template").distinct(), "hits")
     listed = _small(_written(hits.select("doc_id", "th").distinct(), "listed"))
     same = docs["doc_id"].eqNullSafe(listed["doc_id"]) & (docs["th"] == listed["th"])
