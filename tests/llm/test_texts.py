@@ -90,6 +90,17 @@ def test_packing_keeps_every_id_once(spark):
     assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] for r in whole)
 
 
+@pytest.mark.parametrize("block", [7, 300, packing.BLOCK])
+def test_encoder_slices_change_nothing(monkeypatch, block):
+    monkeypatch.setattr(packing, "BLOCK", block)
+    path = public_tokenizers.path(packing.TOKENIZER)
+    encode, whole = packing.Encoder(path), Tokenizer.from_file(path)
+    long = " ".join(f"word{i % 90} é{i % 7}" for i in range(2000))
+    texts = ["", " ", "a", " a", "x" * 3000, long, "  two  spaces ", "\n line", long[5:], packing.SPECIAL + " b"]
+    got = [ids.tolist() for ids in encode(texts)]
+    assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_wastes_little(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = queries.op1_packing(spark, sf_dir).collect()
