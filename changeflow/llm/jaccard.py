@@ -29,8 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import guarded, hashes, mix, words
-from changeflow.session import work_dir
+from changeflow.llm.common import guarded, hashes, mix, words, written
 
 SHINGLE = 5  # words
 NUMERATOR, DENOMINATOR = 75, 100  # the least similarity
@@ -169,14 +168,6 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "th", "text").mapInArrow(run, ddl)
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: later steps neither repeat it nor depend on an executor."""
-    path = work_dir(frame.sparkSession, name)
-    schema = frame.schema
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(schema).parquet(path)
-
-
 def components(links: DataFrame) -> DataFrame:
     """`node, component` of the graph with the edges `a, b`; a component is called by its smallest node.
 

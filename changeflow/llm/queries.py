@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import decontamination, jaccard, licenses, ngram, packing, quality, rules, sql, toxicity, urls, warc
+from changeflow.llm import (
+    conversations, decontamination, jaccard, licenses, ngram, packing, quality, rules, sql, toxicity, urls, warc,
+)
 from changeflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(damaged))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_license_scans": op2_license_scans,
@@ -76,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_conversation_structure_repair": op12_conversation_structure_repair,
 }
 
 ORACLES: dict[str, str] = sql.ORACLES
