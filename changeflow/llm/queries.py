@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import (
-    conversations, decontamination, jaccard, licenses, ngram, packing, quality, rules, sql, toxicity, urls, warc,
+    conversations, decontamination, jaccard, licenses, minhash, ngram, packing, quality, rules, sql, toxicity, urls, warc,
 )
 from changeflow.llm.common import fold, table
 
@@ -72,6 +72,10 @@ def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> Data
     return conversations.report(conversations.repair(damaged))
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_license_scans": op2_license_scans,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op12_conversation_structure_repair": op12_conversation_structure_repair,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = sql.ORACLES
