@@ -13,8 +13,9 @@ of the set and one more) share a shingle. Three orders are used in turn:
    shingle here too before its sets are compared.
 
 Groups that share a shingle never expand into all pairs: members are compared
-with the group's most central document first, and only pairs that then still
-lie in different components, and pass both orders, are compared one by one.
+with the group's most central document first. Links among those that then still
+lie in different components are found by what members differ in from one
+another's centre (`differences`), which loses none of them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.llm import differences
 from changeflow.llm.common import guarded, hashes, mix, words, written
 
 SHINGLE = 5  # words
@@ -251,7 +253,7 @@ def _verify(pairs: DataFrame, cores: DataFrame) -> DataFrame:
     )
 
 
-def _links(cores: DataFrame) -> DataFrame:
+def _links(cores: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links `a, b` with the components of the similarity graph over `node, n, least, shared`."""
     spark = cores.sparkSession
     sized = cores.select("node", "n", F.size("shared").cast("long").alias("m"), "rare")
@@ -279,16 +281,17 @@ def _links(cores: DataFrame) -> DataFrame:
         pairs = pairs.groupBy("of").agg(F.max(F.struct("k", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
-            return links
+            break
         tried = tried.unionByName(pairs)
         links = written(links.unionByName(_verify(pairs, cores)), "links")
         component = components(links)
     spots = _spots(held, component)
-    x, y = spots.alias("x"), spots.alias("y")
-    pairs = x.join(y, "token").filter("x.component < y.component").filter(_may_match("x", "y"))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pairs = pairs.join(tried, ["a", "b"], "left_anti")
-    return links.unionByName(_verify(pairs, cores))
+    centres = spots.groupBy("token").agg(F.min(F.struct(F.xxhash64("node").alias("at"), "node")).alias("c"))
+    members = spots.join(centres.select("token", F.col("c.node").alias("centre")), "token").filter("node <> centre")
+    members = written(members.select("centre", "node", "component").distinct(), "members")
+    if members.isEmpty():
+        return links
+    return links.unionByName(differences.links(members, nodes, NUMERATOR, DENOMINATOR))
 
 
 def _spots(held: DataFrame, component: DataFrame | None) -> DataFrame:
@@ -368,7 +371,7 @@ def _similar(spark: SparkSession, nodes: DataFrame) -> DataFrame:
         .filter(F.size("shared") >= F.col("least"))
     )
     cores = written(_orders(cores), "cores")
-    return components(_links(cores))
+    return components(_links(cores, nodes))
 
 
 def _listed(keys: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ similarity 0.8 miss each other in all of them with a probability of
 
 Buckets offer stars, not pairs: every member is compared with one centre, so
 there are at most as many candidates as sets. Members of one bucket that are
-then still in different components get other centres in further rounds; what is
-left after those is compared pair by pair, so that no link is lost to the star.
+then still in different components get other centres in further rounds; links
+among what is left after those are found by what members differ in from their
+centre (`differences`), so that no link is lost to the star.
 """
 
 from __future__ import annotations
@@ -26,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.llm import differences
 from changeflow.llm.common import mix, written
+from changeflow.llm.differences import similar_pairs
 from changeflow.llm.jaccard import components, shingles
 
 SHINGLE = 2  # words
 NUMERATOR, DENOMINATOR = 80, 100  # the least similarity
 BIN_BITS, BAND = 9, 8  # 512 bins, eight to a band
 BINS, BANDS = 1 << BIN_BITS, (1 << BIN_BITS) // BAND
-STARS = 4  # rounds of comparisons with centres before pairs
+STARS = 3  # rounds of comparisons with centres before differences
 BROADCAST_ROWS = 1_000_000  # keys (16 bytes) sent to all executors, at most; more are joined by shuffle
 BATCH = 1024  # documents whose bands are hashed together
 
@@ -122,14 +125,6 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs `a, b` whose full sets are similar."""
-    joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    both = F.size(F.array_intersect("sa", "sb"))
-    similar = DENOMINATOR * both >= NUMERATOR * (F.size("sa") + F.size("sb") - both)
-    return joined.filter(similar).select("a", "b")
-
-
 def _open(spots: DataFrame, component: DataFrame | None) -> DataFrame:
     """Members of buckets that hold more than one component."""
     if component is not None:
@@ -172,14 +167,15 @@ def _components(spots: DataFrame, sets: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             break
         tried = tried.unionByName(pairs)
-        links = written(links.unionByName(_confirmed(pairs, sets)), "links")
+        links = written(links.unionByName(similar_pairs(pairs, sets, NUMERATOR, DENOMINATOR)), "links")
         component = components(links)
-    rest = _open(spots, component)
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, "bucket").filter(F.col("x.component") < F.col("y.component")).filter(_sizes_allow("x", "y"))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    found = _confirmed(pairs.join(tried, ["a", "b"], "left_anti"), sets)
-    return components(links.unionByName(found))
+    rest = written(_open(spots, component), "spots")
+    centres = rest.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("at"), "node")).alias("c"))
+    members = rest.join(centres.select("bucket", F.col("c.node").alias("centre")), "bucket").filter("node <> centre")
+    members = written(members.select("centre", "node", "component").distinct(), "members")
+    if not members.isEmpty():
+        links = links.unionByName(differences.links(members, sets, NUMERATOR, DENOMINATOR))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -14,19 +14,19 @@ from changeflow.llm.queries import QUERIES
 DOCS = "doc_id long, text string"
 
 
-def shingle_set(text):
+def shingle_set(text, size=2):
     words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     for c in "\t\n\v\f\r":
         words = words.replace(c, " ")
     words = [w for w in words.split(" ") if w]
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 2]) for i in range(max(1, len(words) - 1)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def brute(docs, numerator=80):
+def brute(docs, numerator=80, size=2):
     """`[(doc_id, n_shingles, component_id, kept)]` by comparing all distinct sets that share a shingle."""
-    sets = [shingle_set(t) for _, t in docs]
+    sets = [shingle_set(t, size) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(i):
