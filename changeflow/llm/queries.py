@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import (
-    conversations, decontamination, jaccard, licenses, minhash, ngram, packing, quality, rules, sql, toxicity, urls, warc,
+    conversations, decontamination, jaccard, licenses, minhash, negatives, ngram, packing, quality, rules, sql, toxicity, urls, warc,
 )
 from changeflow.llm.common import fold, table
 
@@ -67,6 +67,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.mine(rows, rows.filter("vec_id % 100 = 0"))
+
+
 def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.report(conversations.repair(damaged))
@@ -87,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_hard_negative_mining": op11_hard_negative_mining,
     "op12_conversation_structure_repair": op12_conversation_structure_repair,
     "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
