@@ -35,14 +35,3 @@ def digest_int(*parts: Column | str) -> Column:
     """32 bits of an md5 over the parts joined by `:`, as a bigint >= 0."""
     columns = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
     return F.conv(F.substring(F.md5(F.concat_ws(":", *columns)), 1, 8), 16, 10).cast("bigint")
-
-
-def choose(values: list[str], *parts: Column | str) -> Column:
-    """One of the values, picked by the digest of the parts."""
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (digest_int(*parts) % len(values) + 1).cast("int"))
-
-
-def uniform(*parts: Column) -> Column:
-    """A double in [0, 1) from the parts: the top 53 bits of a 64-bit hash."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11) * F.lit(2.0**-53)

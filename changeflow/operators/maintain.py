@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.sources.tablelog import TableLog
-
 
 def history_head(commits: DataFrame) -> DataFrame:
     """The newest commit."""
@@ -27,13 +23,3 @@ def due(clock: DataFrame, interval_hours: float) -> DataFrame:
     return clock.select(
         "hours", F.coalesce(F.col("hours") >= interval_hours, F.lit(True)).alias("due")
     )
-
-
-def maintain(log: TableLog, now: datetime, interval_hours: float = 1.0, retain_hours: float = 6.0) -> dict | None:
-    """Compact and vacuum if due. Returns the table's file count and size then."""
-    clock = due(hours_since(log.commits(), "OPTIMIZE", F.lit(now)), interval_hours)
-    if not clock.first()["due"]:
-        return None
-    version = log.compact(now)
-    floor = log.vacuum(now, retain_hours)
-    return {"version": version, "floor": floor, **log.detail().first().asDict()}

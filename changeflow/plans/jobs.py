@@ -1,10 +1,9 @@
 """The jobs, put together from the operators.
 
 Each takes what would come from a command line or the environment as
-arguments, does its work with Spark and returns its counts. The jobs on the
-change log are methods and functions already: `TableLog.merge`,
-`generate.run_rounds`, `maintain.maintain`, `feed.publish_changes`,
-`feed.hydrate`, `migrate.run_migrations`.
+arguments, does its work with Spark and returns its counts. The jobs on
+changes are methods and functions already: `Ledger.merge`,
+`feed.publish_changes`, `feed.hydrate`, `migrate.run_migrations`.
 """
 
 from __future__ import annotations

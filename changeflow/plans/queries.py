@@ -31,7 +31,7 @@ from changeflow.plans import jobs
 from changeflow.session import work_dir
 from changeflow.sources import documents as docs
 from changeflow.sources import views
-from changeflow.sources.tablelog import TableLog
+from changeflow.sources.ledger import Ledger
 from changeflow.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,14 +70,13 @@ def _round(spark, sf, round_no):
     return ch.last_op_per_key(raw).drop("round_no")
 
 
-def _log(spark, sf, rounds=ROUNDS) -> TableLog:
-    """The accounts table with a number of rounds committed, one hour apart."""
-    log = TableLog(spark, work_dir(spark, "accounts"))
-    log.create()
-    log.append(_base(spark, sf), at(0))
+def _ledger(spark, sf, rounds=ROUNDS) -> Ledger:
+    """The accounts table with a number of rounds merged, one hour apart."""
+    table = Ledger(spark, work_dir(spark, "accounts"), buckets=8)
+    table.append(_base(spark, sf), at(0))
     for i in rounds:
-        log.merge(_round(spark, sf, i), at(i))
-    return log
+        table.merge(_round(spark, sf, i), at(i))
+    return table
 
 
 def _one_merge(spark, sf):
@@ -122,19 +121,19 @@ def merge_round(spark, sf):
 
 
 def two_rounds(spark, sf):
-    return _log(spark, sf, ROUNDS[:2]).read().select(*STATE)
+    return _ledger(spark, sf, ROUNDS[:2]).read().select(*STATE)
 
 
 def state_as_of(spark, sf):
-    return _log(spark, sf).read(2).select(*STATE)
+    return _ledger(spark, sf, ROUNDS).as_of(2).select(*STATE)
 
 
 def state_current(spark, sf):
-    return _log(spark, sf).read().select(*STATE)
+    return _ledger(spark, sf).read().select(*STATE)
 
 
 def adhoc_sql(spark, sf):
-    views.register(spark, {"accounts": _log(spark, sf).read()})
+    views.register(spark, {"accounts": _ledger(spark, sf).read()})
     return spark.sql(
         "SELECT region, count(*) AS n, round(sum(balance), 2) AS balance FROM accounts GROUP BY region"
     )
@@ -160,7 +159,7 @@ def cdf_messages(spark, sf):
 
 def _published(spark, sf, starting, rounds=ROUNDS):
     """The feed streamed into a folder of messages; returns log and folder."""
-    log = _log(spark, sf, rounds)
+    log = _ledger(spark, sf, rounds)
     out, checkpoint = work_dir(spark, "topic"), work_dir(spark, "checkpoint")
     feed.publish_changes(log, feed.folder_sink(out), checkpoint, starting).awaitTermination()
     return log, out
@@ -172,7 +171,7 @@ def _messages(spark, out):
 
 def cdf_stream(spark, sf):
     """First run: the table after two rounds as inserts; then the third as changes."""
-    log = _log(spark, sf, ROUNDS[:2])
+    log = _ledger(spark, sf, ROUNDS[:2])
     out, checkpoint = work_dir(spark, "topic"), work_dir(spark, "checkpoint")
     feed.publish_changes(log, feed.folder_sink(out), checkpoint).awaitTermination()
     log.merge(_round(spark, sf, 3), at(3))
@@ -181,7 +180,7 @@ def cdf_stream(spark, sf):
 
 
 def hydrate_messages(spark, sf):
-    log = _log(spark, sf)
+    log = _ledger(spark, sf)
     out = work_dir(spark, "topic")
     feed.hydrate(log, feed.folder_sink(out))
     return _message_columns(ms.parse_messages(_messages(spark, out)))
@@ -189,9 +188,8 @@ def hydrate_messages(spark, sf):
 
 def _topic(spark, sf):
     """Rounds hydrated at version 2 plus all changes, one of the versions delivered twice."""
-    log = _log(spark, sf)
-    head = log.commits().filter("version = 2").first()
-    hydrated = ms.hydrate_messages(log.read(2), 2, F.lit(head["timestamp"]))
+    log = _ledger(spark, sf)
+    hydrated = ms.hydrate_messages(log.as_of(2), 2, F.lit(at(2)))
     live = ms.change_messages(log.changes(1))
     repeated = ms.change_messages(log.changes(2, 2))
     return live.unionByName(hydrated).unionByName(repeated)
@@ -255,16 +253,14 @@ def migrations_pending(spark, sf):
 
 def migrate_run(spark, sf):
     """Two migrations, run twice: create and seed the table, then commit a batch."""
-    log, state = TableLog(spark, work_dir(spark, "accounts")), work_dir(spark, "migrations")
+    log, state = Ledger(spark, work_dir(spark, "accounts"), buckets=8), work_dir(spark, "migrations")
 
     def create(_):
-        log.create()
-        if log.read().isEmpty():
+        if log.head() is None:
             log.append(_base(spark, sf), at(0))
 
     def merge(_):
-        if log.head()["version"] < 1:
-            log.merge(_batch(spark, sf), at(1))
+        log.merge(_batch(spark, sf), at(1), version=1)
 
     registry = [("m001_create", create), ("m002_merge", merge)]
     first = mg.run_migrations(spark, registry, state, NOW)

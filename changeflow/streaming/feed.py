@@ -1,8 +1,9 @@
 """The change feed as a stream, and the keyed view its consumer keeps.
 
-The stream reads the small `commits` table, whose rows are written last, and
-each micro-batch opens the data paths its commits name. Reading the data
-folders themselves could meet a version before it is committed.
+A consumer has a folder in which the ledger notes every new version, last of
+its data. The stream reads these notes; each micro-batch opens the change rows
+of its versions. Notes that were read are moved to an archive, so the folder
+does not grow with the age of the table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators import messages as ms
 from changeflow.operators.changes import as_inserts
 from changeflow.session import append_row, path_exists
-from changeflow.sources.tablelog import COMMITS, RetentionError, TableLog
+from changeflow.sources.ledger import Ledger
 
 # A sink takes the messages of one micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -55,19 +56,19 @@ def publish_batch(messages: DataFrame, sink: Sink) -> None:
     sink(messages, SNAPSHOT_BATCH)
 
 
-def hydrate(log: TableLog, sink: Sink) -> int:
+def hydrate(table: Ledger, sink: Sink) -> int:
     """Publish every live row at the newest version, pinned. Returns that version.
 
     Needs no coordination with writer or stream: later changes carry a greater
     version and win in the consumer whatever the order of arrival.
     """
-    head = log.head()
-    snapshot = log.read(head["version"])
+    head = table.head()
+    snapshot = table.as_of(head["version"])
     publish_batch(ms.hydrate_messages(snapshot, head["version"], F.lit(head["timestamp"])), sink)
     return head["version"]
 
 
-def _pinned_start(log: TableLog, sink: Sink, checkpoint: str, starting: str) -> int:
+def _pinned_start(table: Ledger, sink: Sink, checkpoint: str, starting: str) -> int:
     """The version up to which the stream has nothing to publish itself.
 
     With `starting='snapshot'` the first run publishes the current table as
@@ -77,45 +78,47 @@ def _pinned_start(log: TableLog, sink: Sink, checkpoint: str, starting: str) ->
     if starting == "earliest":
         return -1
     note = f"{checkpoint}-start"
-    if not path_exists(log.spark, note):
-        head = log.head()
-        rows = as_inserts(log.read(head["version"]), head["version"], F.lit(head["timestamp"]))
-        publish_batch(ms.change_messages(rows, log.key), sink)
-        append_row(log.spark, note, "version bigint", head["version"])
-    return log.spark.read.schema("version bigint").parquet(note).first()["version"]
+    if not path_exists(table.spark, f"{note}/_SUCCESS"):
+        head = table.head()
+        rows = as_inserts(table.as_of(head["version"]), head["version"], F.lit(head["timestamp"]))
+        publish_batch(ms.change_messages(rows, table.key), sink)
+        append_row(table.spark, note, "version bigint", head["version"])
+    return table.spark.read.schema("version bigint").parquet(note).first()["version"]
 
 
 def publish_changes(
-    log: TableLog,
+    table: Ledger,
     sink: Sink,
     checkpoint: str,
     starting: str = "snapshot",
     trigger: str | None = None,
-    commits_per_batch: int = 100,
+    versions_per_batch: int = 100,
+    consumer: str = "main",
 ) -> StreamingQuery:
     """Publish the change feed from where the checkpoint stands.
 
     `trigger` is a processing-time interval such as '30 seconds'; without one
-    the query handles what is there and stops. Delivery is at least once. A
-    stream that stood still past the table's retention fails, it skips nothing.
+    the query handles what is there and stops. Delivery is at least once. Two
+    consumers need two names and two checkpoints.
     """
-    start = _pinned_start(log, sink, checkpoint, starting)
+    notes = table.subscribe(consumer, earliest=starting == "earliest")  # before the snapshot: nothing falls between
+    start = _pinned_start(table, sink, checkpoint, starting)
 
-    def publish(commits: DataFrame, batch: int) -> None:
-        # One row per commit file, so at most `commits_per_batch` rows.
-        due = [c for c in commits.collect() if c["version"] > start and c["changes"]]
+    def publish(batch: DataFrame, number: int) -> None:
+        # One row per note, so at most `versions_per_batch` rows.
+        due = sorted({r["version"] for r in batch.collect() if r["version"] > start})
         if not due:
             return
-        first = min(c["version"] for c in due)
-        if first <= log.floor():
-            raise RetentionError(f"changes of {log.root} from version {first} on were vacuumed before they were read")
-        changes = log._read_changes([c["changes"] for c in due])
-        sink(ms.change_messages(changes, log.key), batch)
+        changes = table.spark.read.schema(table.change_schema).option("basePath", f"{table.root}/changes")
+        changes = changes.parquet(*[table._changes_path(v) for v in due]).select(*table.change_schema.fieldNames())
+        sink(ms.change_messages(changes, table.key), number)
 
     stream = (
-        log.spark.readStream.schema(COMMITS)
-        .option("maxFilesPerTrigger", commits_per_batch)
-        .parquet(f"{log.root}/commits")
+        table.spark.readStream.schema("version bigint")
+        .option("maxFilesPerTrigger", versions_per_batch)
+        .option("cleanSource", "archive")
+        .option("sourceArchiveDir", f"{table.root}/read/{consumer}")
+        .parquet(notes)
     )
     writer = stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)

@@ -7,12 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.operators import changes as ch
-from changeflow.operators import generate as gen
 from changeflow.operators import maintain as mt
 from changeflow.operators import messages as ms
 from changeflow.operators import migrate as mg
-from changeflow.session import path_exists, work_dir
-from changeflow.sources.tablelog import PROPERTIES, RetentionError, TableLog
+from changeflow.session import hadoop_path, work_dir
+from changeflow.sources.ledger import Ledger
 from changeflow.streaming import feed
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -32,9 +31,9 @@ def raw_ops(spark, seed, n=60, keys=25):
             i,
             0 if rng.random() < 0.3 else rng.randrange(keys),
             rng.choice(["insert", "update", "update", "delete"]),
-            rng.choice(gen.STATUS),
-            rng.choice(gen.TIER),
-            rng.choice(gen.REGIONS),
+            rng.choice(["active", "blocked", "closed"]),
+            rng.choice(["bronze", "silver", "gold"]),
+            rng.choice(["SP", "RJ", "MG", "BA"]),
             rng.randrange(10000) / 100,
             at(seed),
         )
@@ -68,15 +67,18 @@ def as_dict(df):
 
 
 def seed_rows(spark, n=12):
-    ids = spark.range(0, n).withColumnRenamed("id", "account_id")
-    return gen.seed_accounts(ids, F.lit(T0))
+    rows = [(i, "active", ["bronze", "gold"][i % 2], ["SP", "RJ", "MG"][i % 3], i * 1.25, 0, T0) for i in range(n)]
+    return spark.createDataFrame(rows, ch.ACCOUNTS)
+
+
+def ledger(spark):
+    return Ledger(spark, work_dir(spark, "t"), buckets=7)
 
 
 @pytest.fixture(scope="module")
 def table(spark):
-    """A log with a seed and four rounds, and the model's state after each version."""
-    log = TableLog(spark, work_dir(spark, "t"))
-    assert log.create() and not log.create()
+    """A table with a seed and four rounds, and the model's state after each version."""
+    log = ledger(spark)
     log.append(seed_rows(spark), T0)
     states, kinds = [as_dict(log.read())], [[]]
     for i in range(1, 5):
@@ -92,10 +94,10 @@ def table(spark):
 def test_every_version_reads_like_the_model(table):
     log, states, _ = table
     for version, state in enumerate(states):
-        assert as_dict(log.read(version)) == state
+        assert as_dict(log.as_of(version)) == state
     assert as_dict(log.read()) == states[-1]
     with pytest.raises(ValueError):
-        log.read(99)
+        log.as_of(99)
 
 
 def test_change_rows(table):
@@ -129,32 +131,74 @@ def test_large_batch_without_broadcast(spark, table):
 def test_small_batch_does_not_shuffle_the_state(spark, table):
     log, _, _ = table
     ops = spark.createDataFrame(ch.last_op_per_key(raw_ops(spark, 1)[1]).collect(), ch.OPS)
-    plan = ch.merge_changes(log.read(0), ops.hint("broadcast"), 5, F.lit(T0))._jdf.queryExecution().toString()
+    plan = ch.merge_changes(log.as_of(0), ops.hint("broadcast"), 5, F.lit(T0))._jdf.queryExecution().toString()
     physical = plan[plan.index("== Physical Plan ==") :]
     assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
 
 
-def test_uncommitted_data_is_never_read(spark, table):
-    log, states, _ = table
-    ch.as_inserts(seed_rows(spark, 50), 5, F.lit(T0)).write.parquet(log._data_path("log", 5))
-    assert as_dict(log.read()) == states[-1]
+def files(spark, folder):
+    fs, p = hadoop_path(spark, folder)
+    return {f.getPath().toString() for f in fs.listStatus(p)}
 
 
-def test_a_taken_version_is_refused(table):
-    log, _, _ = table
-    with pytest.raises(RuntimeError, match="already committed"):
-        log._record(4, T0, "MERGE", None, None, 0)
+def test_a_batch_reads_and_writes_only_the_buckets_it_touches(spark):
+    log = ledger(spark)
+    log.append(seed_rows(spark, 40), T0)
+    row = (3, "update", "closed", "gold", "SP", 7.5, at(1))
+    ops = spark.createDataFrame([row], ch.OPS)
+    scan = log.touched(ops)
+    assert scan.collect() and "dynamicpruning" in scan._jdf.queryExecution().executedPlan().toString()
+    before = {b: files(spark, b) for b in files(spark, f"{log.root}/state") if "bucket=" in b}
+    assert len(before) == 7
+    log.merge(ops, at(1))
+    assert sum(files(spark, b) != before[b] for b in before) == 1
+    assert as_dict(log.read()) == as_dict(log.as_of(1))
+
+
+def test_a_bucket_may_lose_its_last_row(spark):
+    log = Ledger(spark, work_dir(spark, "t"), buckets=2)
+    log.append(seed_rows(spark, 6), T0)
+    ops = [(i, "delete", None, None, None, None, at(1)) for i in range(6)]
+    log.merge(spark.createDataFrame(ops, ch.OPS), at(1))
+    assert log.read().isEmpty() and log.as_of(1).isEmpty() and log.as_of(0).count() == 6
+
 
+def test_what_a_writer_left_undone_is_finished(spark, monkeypatch):
+    log = ledger(spark)
+    log.append(seed_rows(spark), T0)
+    rows, raw = raw_ops(spark, 1)
+    state, _ = model(as_dict(log.read()), rows)
+    ops = ch.last_op_per_key(raw)
+    with monkeypatch.context() as m:
+        m.setattr(Ledger, "_settle", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            log.merge(ops, at(1), version=1)
+    assert log.head()["version"] == 0 and log.changes().filter("_commit_version > 0").isEmpty()
+    assert log.merge(ops, at(2), version=1)[0] == 1  # the same batch again: finished, not applied twice
+    assert as_dict(log.read()) == state == as_dict(log.as_of(1))
+    log._settle(1, at(2))  # repeating a step changes nothing
+    assert as_dict(log.read()) == state
+    with pytest.raises(ValueError):
+        log.merge(ops, at(3), version=9)
 
-def test_table_properties(table):
-    assert table[0].properties() == PROPERTIES
+
+def test_spans_are_listed_only_where_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr("changeflow.sources.ledger.SPAN", 2)
+    log = ledger(spark)
+    log.append(seed_rows(spark), T0)
+    for i in range(1, 5):
+        log.merge(ch.last_op_per_key(raw_ops(spark, i)[1]), at(i))
+    plan = log.changes(3, 3)
+    assert {r[0] for r in plan.select("_commit_version").distinct().collect()} == {3}
+    assert all("_span=1" in f for f in plan.inputFiles())
+    assert as_dict(log.as_of(4)) == as_dict(log.read())
 
 
 def test_upsert_view_ignores_order_and_repeats(table):
     log, states, _ = table
     live = ms.change_messages(log.changes(1))
-    hydrated = ms.hydrate_messages(log.read(2), 2, F.lit(at(2)))
-    again = ms.hydrate_messages(log.read(3), 3, F.lit(at(3)))
+    hydrated = ms.hydrate_messages(log.as_of(2), 2, F.lit(at(2)))
+    again = ms.hydrate_messages(log.as_of(3), 3, F.lit(at(3)))
     for topic in (
         hydrated.unionByName(live),
         live.unionByName(hydrated).unionByName(live),
@@ -185,14 +229,13 @@ def published(spark, out):
 
 
 def test_stream_resumes_without_repeats(spark):
-    log = TableLog(spark, work_dir(spark, "t"))
+    log = ledger(spark)
     out, checkpoint = work_dir(spark, "topic"), work_dir(spark, "cp")
     log.append(seed_rows(spark), T0)
     log.merge(ch.last_op_per_key(raw_ops(spark, 1)[1]), at(1))
-    run_feed(log, out, checkpoint, starting="earliest", commits_per_batch=1)
+    run_feed(log, out, checkpoint, starting="earliest", versions_per_batch=1)
     assert {r[0] for r in published(spark, out).select("_commit_version").distinct().collect()} == {0, 1}
     log.merge(ch.last_op_per_key(raw_ops(spark, 2)[1]), at(2))
-    log.compact(at(3))
     run_feed(log, out, checkpoint, starting="earliest")
     run_feed(log, out, checkpoint, starting="earliest")
     got = published(spark, out)
@@ -200,31 +243,24 @@ def test_stream_resumes_without_repeats(spark):
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
-def test_stalled_stream_fails_after_vacuum(spark):
-    log = TableLog(spark, work_dir(spark, "t"))
+def test_notes_do_not_pile_up(spark):
+    """What a consumer has read leaves its folder, so a listing stays as long as what is new."""
+    log = ledger(spark)
     out, checkpoint = work_dir(spark, "topic"), work_dir(spark, "cp")
     log.append(seed_rows(spark), T0)
-    run_feed(log, out, checkpoint)
-    log.merge(ch.last_op_per_key(raw_ops(spark, 1)[1]), at(1))
-    before = as_dict(log.read())
-    path = log.commits().filter("version = 1").first()["changes"]
-    log.compact(at(2))
-    assert log.vacuum(at(3), 6) == -1  # nothing is older than six hours yet
-    assert log.vacuum(at(9), 6) == 2
-    assert log.vacuum(at(9), 6) == 2
-    assert not path_exists(spark, path)
-    assert as_dict(log.read()) == before == as_dict(log.read(2))
-    for old in (0, 1):
-        with pytest.raises(RetentionError):
-            log.read(old)
-    with pytest.raises(RetentionError):
-        log.changes(1)
-    with pytest.raises(Exception, match="vacuumed"):
+    most = 0
+    for i in range(1, 6):
         run_feed(log, out, checkpoint)
-    # A new consumer starts from the table as it is.
+        log.merge(ch.last_op_per_key(raw_ops(spark, i)[1]), at(i))
+        (folder,) = log.feeds()
+        most = max(most, sum(".parquet" in f for f in files(spark, folder)))
+    assert most <= 3
+    run_feed(log, out, checkpoint)
+    assert as_dict(ms.upsert_view(published(spark, out))) == as_dict(log.read())
+    # A second consumer hears of everything too, from the table as it is.
     fresh = work_dir(spark, "topic")
-    run_feed(log, fresh, work_dir(spark, "cp"))
-    assert as_dict(ms.upsert_view(published(spark, fresh))) == before
+    run_feed(log, fresh, work_dir(spark, "cp"), consumer="second")
+    assert as_dict(ms.upsert_view(published(spark, fresh))) == as_dict(log.read())
 
 
 def test_stateful_upsert_survives_a_restart(spark, table):
@@ -239,22 +275,22 @@ def test_stateful_upsert_survives_a_restart(spark, table):
     consume()
     # Older changes and the hydration arrive late.
     ms.change_messages(log.changes(1, 2)).write.mode("append").parquet(topic)
-    ms.hydrate_messages(log.read(1), 1, F.lit(at(1))).write.mode("append").parquet(topic)
+    ms.hydrate_messages(log.as_of(1), 1, F.lit(at(1))).write.mode("append").parquet(topic)
     consume()
     assert as_dict(feed.read_upserts(spark, out)) == states[-1]
 
 
 def test_maintenance_clock(spark):
-    log = TableLog(spark, work_dir(spark, "t"))
-    log.append(seed_rows(spark), T0)
-    never = mt.due(mt.hours_since(log.commits(), "OPTIMIZE", F.lit(at(1))), 1.0).first()
-    assert never["hours"] is None and never["due"] is True
-    first = mt.maintain(log, at(1))
-    assert first["version"] == 1 and first["num_files"] >= 1
-    assert mt.maintain(log, at(1.5)) is None
-    assert mt.maintain(log, at(2))["version"] == 2
-    clock = mt.hours_since(log.commits(), "OPTIMIZE", F.lit(at(4.5))).first()
-    assert clock["hours"] == 2.5
+    schema = "version long, timestamp timestamp, operation string"
+    history = [(0, T0, "WRITE")]
+
+    def clock(hours):
+        return mt.due(mt.hours_since(spark.createDataFrame(history, schema), "OPTIMIZE", F.lit(at(hours))), 1.0).first()
+
+    assert clock(1)["hours"] is None and clock(1)["due"] is True
+    history.append((1, at(1), "OPTIMIZE"))
+    assert clock(1.5)["due"] is False and clock(2)["due"] is True
+    assert clock(3.5)["hours"] == 2.5
 
 
 def test_migrations_run_once_and_in_order(spark):
@@ -272,65 +308,9 @@ def test_migrations_run_once_and_in_order(spark):
     assert ran == ["m1", "m2"]
 
 
-# -- generation ------------------------------------------------------------
-
-
-def test_batch_is_reproducible_and_mixed(spark):
-    n, top = 20_000, 99_999
-    a, b = (gen.change_batch(spark, top, 7, F.lit(now), n).drop("updated_at") for now in (T0, at(5)))
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    assert gen.change_batch(spark, top, 8, F.lit(T0), n).drop("updated_at").exceptAll(a).count() > n / 2
-    mix = {r["op"]: r["count"] for r in a.groupBy("op").count().collect()}
-    for op, p in gen.MIX.items():
-        assert abs(mix[op] - n * p) < 5 * (n * p * (1 - p)) ** 0.5
-    inserts = [r[0] for r in a.filter("op = 'insert'").orderBy("seq").select("account_id").collect()]
-    assert inserts == list(range(top + 1, top + 1 + len(inserts)))
-    assert gen.next_max_id(a, top) == inserts[-1]
-    assert ch.dup_keys(ch.last_op_per_key(gen.change_batch(spark, top, 7, F.lit(T0), 2000))).isEmpty()
-    with pytest.raises(ValueError):
-        gen.change_batch(spark, top, 1, F.lit(T0), n, mix={"insert": 0.5, "update": 0.4, "delete": 0.2})
-
-
-def test_insert_ids_run_on_across_blocks(spark, monkeypatch):
-    monkeypatch.setattr(gen, "BLOCK", 64)
-    rows = gen.change_batch(spark, 10, 1, F.lit(T0), 1000).filter("op = 'insert'").orderBy("seq")
-    ids = [r["account_id"] for r in rows.collect()]
-    assert ids == list(range(11, 11 + len(ids)))
-
-
-def test_hot_key_is_updated_in_most_rounds(spark):
-    hits = 0
-    for round_no in range(1, 6):
-        batch = ch.last_op_per_key(gen.change_batch(spark, 99_999, round_no, F.lit(T0), 2000))
-        hits += batch.filter("op = 'update' AND account_id = 0").count()
-    assert hits >= 4
-
-
-@pytest.mark.parametrize("s", [1.1, 1.0, 2.0])
-def test_zipf_frequencies(spark, s):
-    n, top = 40_000, 49
-    counts = {r["account_id"]: r["count"] for r in gen.skewed_keys(spark, n, top, s).groupBy("account_id").count().collect()}
-    assert set(counts) <= set(range(top + 1))
-    total = sum(k**-s for k in range(1, top + 2))
-    for key in range(top + 1):
-        p = (key + 1) ** -s / total
-        assert abs(counts.get(key, 0) - n * p) < 5 * (n * p * (1 - p)) ** 0.5 + 1
-
-
-def test_rounds_fold_into_the_log(spark):
-    log = TableLog(spark, work_dir(spark, "t"))
-    assert gen.seed_if_empty(log, 500, T0) and not gen.seed_if_empty(log, 500, T0)
-    done = gen.run_rounds(log, [(1, at(1)), (2, at(2))], n=200)
-    assert [d["version"] for d in done] == [1, 2]
-    assert as_dict(log.read()) == as_dict(ch.as_of(log.changes()))
-    assert ch.max_key(log.read()).first()["m"] >= 500
-    with pytest.raises(RuntimeError):
-        gen.check_count(log.read(), -1)
-
-
 def test_topic_sink_on_a_processing_time_trigger(spark):
     """Appends in version order per key; any batch format stands in for the broker."""
-    log = TableLog(spark, work_dir(spark, "t"))
+    log = ledger(spark)
     log.append(seed_rows(spark, 5), T0)
     out = work_dir(spark, "topic")
     sink = feed.topic_sink({"path": out}, fmt="json")
@@ -349,7 +329,7 @@ def test_topic_sink_on_a_processing_time_trigger(spark):
 
 
 def test_append_refuses_keys_it_could_not_keep(spark):
-    log = TableLog(spark, work_dir(spark, "t"))
+    log = ledger(spark)
     rows = seed_rows(spark, 5)
     with pytest.raises(ValueError, match="twice"):
         log.append(rows.unionByName(rows), T0)
@@ -377,7 +357,7 @@ def test_shared_folder_is_required_on_a_cluster():
 
 def test_upsert_state_is_kept_by_rocksdb(spark):
     topic, out, cp = (work_dir(spark, n) for n in ("topic", "view", "cp"))
-    log = TableLog(spark, work_dir(spark, "t"))
+    log = ledger(spark)
     log.append(seed_rows(spark, 5), T0)
     feed.ms.change_messages(log.changes()).write.parquet(topic)
     before = spark.conf.get(feed.PROVIDER)
