@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 from datetime import datetime
 
 import numpy as np
@@ -18,10 +17,10 @@ from changeflow.session import append_row, delete_path, path_exists
 # Payload fields that take a filter.
 FILTERABLE = ("namespace", "alertnames", "confirmation", "outcome", "confidence", "section")
 
-# Bytes of query vectors held by a task at once, and similarities computed at
-# once. Larger query sets are searched in several passes under the same bound.
-QUERY_BYTES = 8 << 20
-BLOCK_CELLS = 4 << 20
+# Bytes of query and of point vectors in one group, queries and points whose similarities are computed at once.
+QUERY_BYTES, POINT_BYTES = 32 << 20, 64 << 20
+TILE = 2048
+MOST_TASKS = 10_000
 
 # Similarities are compared to this many digits, so that copies of a vector tie.
 DIGITS = 9
@@ -170,52 +169,51 @@ def _best(query: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
     return query[kept], ids[kept], sims[kept]
 
 
-def _search(points: DataFrame, queries: list, k: int, point: str, vector: str, field: str | None) -> DataFrame:
-    """Up to k candidates per query from every partition of the points."""
-    names = [q["query_id"] for q in queries]
-    unit = _unit(np.array([q["vector"] for q in queries], dtype=np.float64))
-    wanted = np.array([q["wanted"] for q in queries]) if field else None
-    step = max(1, BLOCK_CELLS // len(names))
-
-    def candidates(block: pa.RecordBatch):
-        matrix = np.asarray(block.column(1).flatten(), dtype=np.float64).reshape(block.num_rows, -1)
-        with np.errstate(invalid="ignore", over="ignore"):
-            sims = unit @ _unit(matrix).T
-        # A vector with an infinite or undefined number is similar to nothing.
-        sims = np.where(np.isfinite(sims), sims, -np.inf)
-        if field:
-            values = np.asarray(block.column(2).to_pylist(), dtype=wanted.dtype)
-            sims = np.where(wanted[:, None] == values[None, :], sims, -np.inf)
-        rounded = np.round(sims, DIGITS)
-        nth = max(0, block.num_rows - k)
-        floor = np.partition(rounded, nth, axis=1)[:, nth]
-        query, column = np.nonzero((rounded >= floor[:, None]) & np.isfinite(sims))
-        return query, np.array(block.column(0).take(pa.array(column)).to_pylist()), sims[query, column]
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = kind_of = None
-        for batch in batches:
-            kind_of = batch.schema.field(0).type
-            for start in range(0, batch.num_rows, step):
-                found = candidates(batch.slice(start, step))
-                if len(found[0]) == 0:
-                    continue
-                joined = found if best is None else tuple(np.concatenate(p) for p in zip(best, found))
-                best = _best(*joined, k)
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    flat = vectors.combine_chunks().flatten()
+    return np.asarray(flat, dtype=np.float64).reshape(len(vectors), -1)
+
+
+def _search(queries: pa.Table, points: pa.Table, k: int, filtered: bool, tile: int) -> pa.Table:
+    """Up to k points of this split for every query of this block, tile by tile."""
+    kinds = queries.schema.field("query_id").type, points.schema.field("id").type
+    empty = pa.table([pa.array([], t) for t in (*kinds, pa.float64())], names=["query_id", "id", "sim"])
+    if not queries.num_rows or not points.num_rows:
+        return empty
+    unit = _unit(_matrix(queries.column("vector")))
+    with np.errstate(invalid="ignore", over="ignore"):
+        others = _unit(_matrix(points.column("vector")))
+    ids = np.array(points.column("id").to_pylist())
+    wanted, values = (np.array(t.column("wanted").to_pylist()) if filtered else None for t in (queries, points))
+    found = [[], [], []]
+    for top in range(0, len(unit), tile):
+        rows = unit[top : top + tile]
+        best, floor = None, np.full(len(rows), -np.inf)
+        for left in range(0, len(others), tile):
+            with np.errstate(invalid="ignore", over="ignore"):
+                sims = rows @ others[left : left + tile].T
+            # A vector with an infinite or undefined number is similar to nothing.
+            fits = np.isfinite(sims) & (np.round(sims, DIGITS) >= floor[:, None])
+            if filtered:
+                fits &= wanted[top : top + tile, None] == values[None, left : left + tile]
+            if not fits.any():
+                continue
+            rounded = np.where(fits, np.round(sims, DIGITS), -np.inf)
+            nth = max(0, rounded.shape[1] - k)
+            query, at = np.nonzero(fits & (rounded >= np.partition(rounded, nth, axis=1)[:, nth, None]))
+            new = query, ids[left + at], sims[query, at]
+            best = _best(*(new if best is None else (np.concatenate(c) for c in zip(best, new, strict=True))), k)
+            full = np.flatnonzero(np.bincount(best[0], minlength=len(rows)) == k)
+            last = np.searchsorted(best[0], full, side="right") - 1
+            floor[full] = np.round(best[2][last], DIGITS)
         if best is not None:
-            query, ids, sims = best
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names).take(pa.array(query)), pa.array(ids.tolist(), kind_of), pa.array(sims)],
-                names=["query_id", point, "sim"],
-            )
-
-    columns = [point, vector] + ([field] if field else [])
-    present = points.select(*columns).filter(" AND ".join(f"{c} is not null" for c in columns))
-    whole = F.forall(vector, lambda x: x.isNotNull())
-    present = present.filter((F.size(vector) == unit.shape[1]) & whole)
-    kind = points.schema[point].dataType.simpleString()
-    query_kind = {int: "bigint", str: "string"}[type(names[0])]
-    return present.mapInArrow(scan, f"query_id {query_kind}, {point} {kind}, sim double")
+            for column, values_of in zip(found, (best[0] + top, best[1], best[2]), strict=True):
+                column.append(values_of)
+    if not found[0]:
+        return empty
+    query, point, sim = (np.concatenate(c) for c in found)
+    names = queries.column("query_id").combine_chunks().take(pa.array(query))
+    return pa.table([names, pa.array(point.tolist(), kinds[1]), pa.array(sim)], names=["query_id", "id", "sim"])
 
 
 def cosine_topk(
@@ -229,34 +227,48 @@ def cosine_topk(
     """The k most similar points of every query, exactly: `query_id, rank, <point>, sim`.
 
     `queries` has `query_id`, `vector` and, with `field`, the value `wanted` in
-    that payload field of the points. Each task multiplies its Arrow batches
-    with the query matrix and keeps k points per query; only those are
-    shuffled. The query matrix is bounded by `QUERY_BYTES`: more queries mean
-    more passes over the points, never a larger broadcast. Points whose vector
-    has another length or a null in it cannot be compared and are left out;
-    those with an infinite or undefined number are similar to nothing. Query
-    vectors must all have one length.
+    that payload field of the points. Queries are dealt into blocks and points
+    into splits of bounded bytes, and every block meets every split in a group
+    of its own, which keeps k points per query; those are merged by rank. So
+    neither queries nor points pass through the driver, and more queries are
+    more groups, not more plan. Points whose vector has another length or a
+    null in it cannot be compared and are left out; those with an infinite or
+    undefined number are similar to nothing. Query vectors must all have one
+    length.
     """
-    queries = queries.persist()
-    try:
-        size = F.size("vector")
-        shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("dim"), F.min(size).alias("least")).first()
-        if not shape["n"]:
-            raise ValueError("no query vectors")
-        if shape["least"] != shape["dim"]:
-            raise ValueError(f"query vectors have {shape['least']} to {shape['dim']} numbers")
-        passes = -(-shape["n"] * 8 * shape["dim"] // QUERY_BYTES)
-        found = None
-        for i in range(passes):
-            rows = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == i).collect()
-            if rows:
-                hits = _search(points, rows, k, point, vector, field)
-                found = hits if found is None else found.unionByName(hits)
-    finally:
-        queries.unpersist()
-    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("sim", DIGITS)), F.col(point))
-    return (
-        found.withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", point, "sim")
+    size = F.size("vector")
+    shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("dim"), F.min(size).alias("least")).first()
+    if not shape["n"]:
+        raise ValueError("no query vectors")
+    if shape["least"] != shape["dim"]:
+        raise ValueError(f"query vectors have {shape['least']} to {shape['dim']} numbers")
+    dim = shape["dim"]
+    wanted = ["wanted"] if field else []
+    left = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector"), *wanted)
+    extra = [F.col(field).alias("wanted")] if field else []
+    right = points.select(F.col(point).alias("id"), F.col(vector).cast("array<double>").alias("vector"), *extra)
+    right = right.filter(" AND ".join(f"{c} is not null" for c in right.columns))
+    right = right.filter((F.size("vector") == dim) & F.forall("vector", lambda x: x.isNotNull()))
+    n_points, tasks = points.count(), 2 * points.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-shape["n"] * 8 * dim // QUERY_BYTES))
+    splits = max(1, -(-n_points * 8 * dim // POINT_BYTES), min(-(-n_points // TILE), tasks))
+
+    def dealt(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = left.withColumn("block", dealt("query_id", blocks)).withColumn("split", every(splits))
+    right = right.withColumn("split", dealt("id", splits)).withColumn("block", every(blocks))
+    # Little data is much work here: the number of tasks is not left to its size.
+    n = min(blocks * splits, MOST_TASKS)
+    left, right = left.repartition(n, "block", "split"), right.repartition(n, "block", "split")
+    names, filtered, tile = ["query_id", "id"], field is not None, TILE
+    kinds = [f.schema[c].dataType.simpleString() for f, c in ((left, names[0]), (right, names[1]))]
+    found = left.groupBy("block", "split").cogroup(right.groupBy("block", "split")).applyInArrow(
+        lambda q, p: _search(q, p, k, filtered, tile), f"query_id {kinds[0]}, id {kinds[1]}, sim double"
     )
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.round("sim", DIGITS)), "id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("id").alias(point), "sim")

@@ -3,7 +3,7 @@
     changes/_span=<s>/_commit_version=<v>/   the change rows of one batch; spans hold `SPAN` versions
     state/bucket=<b>/                        the rows alive, dealt by a hash of their key
     feeds/<name>/                            one row per batch for a consumer, gone once it has read it
-    head/                                    newest version and its time, written last
+    head/<version>-<microseconds>/           newest version and its time, an empty folder made last
 
 The table after any version follows from the change rows (`operators.changes.as_of`). The state saves reading them
 all: a batch is joined with the state on bucket and key, so dynamic partition pruning opens only buckets the batch
@@ -16,18 +16,18 @@ not see a batch in between reads `as_of` a version.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators import changes as ch
-from changeflow.session import append_row, hadoop_path, path_exists
+from changeflow.session import append_row, delete_path, hadoop_path, path_exists
 
 SPAN = 1000  # versions in one folder
 BUCKETS = 64
-HEAD = "version bigint, timestamp timestamp"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 class Ledger:
@@ -41,9 +41,19 @@ class Ledger:
 
     def head(self) -> Row | None:
         """The newest version and its time."""
-        if not path_exists(self.spark, f"{self.root}/head/_SUCCESS"):
+        marks = self._marks()
+        if not marks:
             return None
-        return self.spark.read.schema(HEAD).parquet(f"{self.root}/head").first()
+        version, micros = max(marks)
+        return Row(version=version, timestamp=EPOCH + timedelta(microseconds=micros))
+
+    def _marks(self) -> list[tuple[int, int]]:
+        names = [path.rstrip("/").rsplit("/", 1)[-1] for path in self._listed("head")]
+        return [(int(v), int(t)) for v, _, t in (name.partition("-") for name in names)]
+
+    def _listed(self, folder: str) -> list[str]:
+        fs, p = hadoop_path(self.spark, f"{self.root}/{folder}")
+        return [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
 
     def _version(self) -> int:
         head = self.head()
@@ -143,7 +153,8 @@ class Ledger:
         if path_exists(self.spark, f"{self._changes_path(newest + 1)}/_SUCCESS"):
             newest += 1
             rows = self.spark.read.schema(self.change_schema).parquet(self._changes_path(newest))
-            time = rows.agg(F.max("_commit_timestamp")).first()[0] or self.head()["timestamp"]
+            time = rows.agg(F.max("_commit_timestamp")).first()[0]
+            time = time or (self.head() or {"timestamp": EPOCH})["timestamp"]
             self._settle(newest, time)
         return newest
 
@@ -164,24 +175,30 @@ class Ledger:
             rows.unpersist()
         for feed in self.feeds():
             append_row(self.spark, feed, "version bigint", version)
-        head = self.spark.range(0, 1, 1, 1).select(F.lit(version).cast("long").alias("version"), F.lit(now).alias("timestamp"))
-        head.write.mode("overwrite").parquet(f"{self.root}/head")
+        self._move_head(version, now)
+
+    def _move_head(self, version: int, now: datetime) -> None:
+        now = now if now.tzinfo else now.astimezone()
+        before = [m for m in self._marks() if m[0] < version]
+        micros = (now - EPOCH) // timedelta(microseconds=1)
+        fs, p = hadoop_path(self.spark, f"{self.root}/head/{version}-{micros}")
+        fs.mkdirs(p)
+        for v, t in before:
+            delete_path(self.spark, f"{self.root}/head/{v}-{t}")
 
     # -- consumers ---------------------------------------------------------
 
     def feeds(self) -> list[str]:
         """The folders of the consumers that want to hear of new versions."""
-        fs, p = hadoop_path(self.spark, f"{self.root}/feeds")
-        return [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return self._listed("feeds")
 
     def subscribe(self, name: str, earliest: bool = False) -> str:
         """The consumer's folder. Versions so far are put into it with `earliest`, later ones in any case."""
         path = f"{self.root}/feeds/{name}"
         if not path_exists(self.spark, path):
-            versions = self.spark.range(0, self._version() + 1 if earliest else 0, 1, 1)
-            # One file per version, as later ones come, so a batch can be as small as one.
-            for v in [r["id"] for r in versions.collect()]:
-                append_row(self.spark, path, "version bigint", v)
             fs, p = hadoop_path(self.spark, path)
             fs.mkdirs(p)
+            # One file per version, as later ones come, so a batch can be as small as one.
+            for v in range(self._version() + 1 if earliest else 0):
+                append_row(self.spark, path, "version bigint", v)
         return path

@@ -67,7 +67,7 @@ def test_search_is_exact(spark, monkeypatch, field, small):
     queries = [(100 + i, v.tolist(), i % 5) for i, v in enumerate(rng.normal(size=(7, 8)).round(3))] + [(99, vectors[0].tolist(), 0)]
     if small:
         monkeypatch.setattr(ix, "QUERY_BYTES", 150)
-        monkeypatch.setattr(ix, "BLOCK_CELLS", 64)
+        monkeypatch.setattr(ix, "TILE", 8)
     p = spark.createDataFrame(points, "vec_id bigint, embedding array<float>, label int").repartition(5)
     q = spark.createDataFrame(queries, "query_id bigint, vector array<double>, wanted int")
     p32 = [(i, np.array(v, np.float32).astype(float), lab) for i, v, lab in points]
@@ -75,6 +75,20 @@ def test_search_is_exact(spark, monkeypatch, field, small):
     assert got == brute(p32, queries, 6, field is not None)
 
 
+def test_many_queries_are_more_groups_not_more_plan(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    p, q = rng.standard_normal((300, 8)), rng.standard_normal((10_000, 8))
+    monkeypatch.setattr(ix, "QUERY_BYTES", 100_000)
+    pf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(p)], "vec_id long, embedding array<double>")
+    qf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "query_id long, vector array<double>")
+    out = ix.cosine_topk(pf, qf, 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "Union" not in plan
+    sims = (q / np.linalg.norm(q, axis=1)[:, None]) @ (p / np.linalg.norm(p, axis=1)[:, None]).T
+    expected = {(i, r + 1, int(j)) for i, row in enumerate(np.argsort(-sims, axis=1)[:, :3]) for r, j in enumerate(row)}
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in out.collect()} == expected
+
+
 def test_search_by_text_ids(spark):
     p = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0]), ("d", None)], "point_id string, vector array<float>")
     q = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, vector array<float>")
