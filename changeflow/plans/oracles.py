@@ -518,6 +518,8 @@ INDEX = {
     "reconcile": NEW_RUN,
     "schema_guard": """SELECT cast(32 AS bigint) AS dim, count(*) AS n, false AS compatible_before, true AS compatible_after
                        FROM embeddings""",
+    "counted_load": """
+        SELECT count(*) AS stored, count(*) AS counted, round(sum(CAST(c_acctbal AS DOUBLE)), 2) AS balance FROM customer""",
     "cosine_topk": _topk("true"),
     "filtered_topk": _topk("c.label = e.label"),
     "point_filter": _with(

@@ -22,6 +22,7 @@ from changeflow.operators import changes as ch
 from changeflow.operators import classify as cl
 from changeflow.operators import costs
 from changeflow.operators import index as ix
+from changeflow.operators import load as ld
 from changeflow.operators import maintain as mt
 from changeflow.operators import messages as ms
 from changeflow.operators import migrate as mg
@@ -139,6 +140,18 @@ def adhoc_sql(spark, sf):
     )
 
 
+def counted_load(spark, sf):
+    """Accounts seeded from the customers: counted as they are written, and read back."""
+    customers, path = views.table(spark, sf, "customer"), work_dir(spark, "seed")
+    accounts = customers.select(F.col("c_custkey").cast("bigint").alias("account_id"), F.col("c_acctbal").alias("balance"))
+    bad = {"without key": F.col("account_id").isNull(), "without balance": F.col("balance").isNull()}
+    seen = ld.load(accounts, path, expected=customers.count(), none_of=bad)
+    stored = spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("stored"), F.round(F.sum(F.col("balance").cast("double")), 2).alias("balance")
+    )
+    return stored.withColumn("counted", F.lit(seen["rows"]).cast("bigint"))
+
+
 # -- messages --------------------------------------------------------------
 
 
@@ -626,7 +639,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         last_op_per_key, op_mix, max_key, dup_keys, batch_diff, merge_round, change_rows, two_rounds,
-        state_as_of, state_current, adhoc_sql, cdf_messages, cdf_stream, hydrate_messages, upsert_view,
+        counted_load, state_as_of, state_current, adhoc_sql, cdf_messages, cdf_stream, hydrate_messages, upsert_view,
         upsert_stream, origin_parity, history_head, hours_since_op, maintenance_due,
         migrations_pending, migrate_run, scan_reports, front_matter, unquote, quote_roundtrip, report_body,
         report_skips, reports_parsed, mirror_path, conclusions_valid, confirmations_valid,

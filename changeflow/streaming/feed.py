@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators import messages as ms
 from changeflow.operators.changes import as_inserts
 from changeflow.session import append_row, path_exists
-from changeflow.sources.ledger import Ledger
+from changeflow.sources.ledger import BUCKETS, Ledger
 
 # A sink takes the messages of one micro-batch and its number.
 Sink = Callable[[DataFrame, int], None]
@@ -125,28 +125,45 @@ def publish_changes(
     return writer.start()
 
 
-def upsert_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Keep the newest message of each key of a message stream.
+def upsert_stream(messages: DataFrame, out: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keep the newest message of each key of a message stream as a table under `out`.
 
     A stateful aggregation: the state store holds one row per key, late and
-    repeated messages lose by version. Each batch writes the keys it changed.
-    One row per key for ever does not fit into executors' memory, so the state
-    is kept by RocksDB on their disks, whatever the session's provider is.
+    repeated messages lose by version. Each batch lays the keys it changed over
+    the buckets of the table they are in; other buckets are neither read nor
+    written, and a repeated batch gives the same table. One row per key for
+    ever does not fit into executors' memory, so the state is kept by RocksDB
+    on their disks, whatever the session's provider is.
     """
     conf = messages.sparkSession.conf
     before = conf.get(PROVIDER)
     conf.set(PROVIDER, ROCKSDB)
     try:
-        return _upsert_stream(messages, out, checkpoint)
+        return _upsert_stream(messages, out, checkpoint, buckets)
     finally:
         conf.set(PROVIDER, before)  # the started query keeps what it was started with
 
 
-def _upsert_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def _upsert_stream(messages: DataFrame, out: str, checkpoint: str, buckets: int) -> StreamingQuery:
     newest = ms.newest_message(ms.parse_messages(messages))
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch}")
+        rows = rows.withColumn("bucket", bucket).persist()
+        try:
+            if rows.isEmpty():
+                return
+            table = rows
+            if path_exists(rows.sparkSession, out):
+                # As many rows as buckets at most, and a partition filter for the scan of the table.
+                touched = F.broadcast(rows.filter("bucket >= 0").select("bucket").distinct())
+                kept = rows.sparkSession.read.schema(rows.schema).parquet(out).join(touched, "bucket", "left_semi")
+                kept = kept.join(rows.select("key"), "key", "left_anti")
+                table = kept.unionByName(rows.hint("rebalance"))
+            table = table.hint("rebalance", "bucket").write.mode("overwrite")
+            table.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(out)
+        finally:
+            rows.unpersist()
 
     return (
         newest.writeStream.outputMode("update")
@@ -158,6 +175,5 @@ def _upsert_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQ
 
 
 def read_upserts(spark: SparkSession, out: str) -> DataFrame:
-    """The view `upsert_stream` keeps: rows alive after the last batch."""
-    rows = spark.read.parquet(out).drop("batch_id")
-    return ms.upsert_view(rows)
+    """The view `upsert_stream` keeps: rows alive after the last batch, as they are stored."""
+    return spark.read.parquet(out).drop("bucket").filter(~F.col("deleted"))

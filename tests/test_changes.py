@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.operators import changes as ch
+from changeflow.operators import load as ld
 from changeflow.operators import maintain as mt
 from changeflow.operators import messages as ms
 from changeflow.operators import migrate as mg
-from changeflow.session import hadoop_path, work_dir
+from changeflow.session import hadoop_path, path_exists, work_dir
 from changeflow.sources.ledger import Ledger
 from changeflow.streaming import feed
 
@@ -365,3 +366,37 @@ def test_upsert_state_is_kept_by_rocksdb(spark):
     query.awaitTermination()
     names = [k for k in query.lastProgress["stateOperators"][0]["customMetrics"] if k.startswith("rocksdb")]
     assert names and spark.conf.get(feed.PROVIDER) == before
+
+
+def test_a_load_counts_what_it_writes(spark):
+    rows, path = seed_rows(spark, 9), work_dir(spark, "load")
+    assert ld.load(rows, path, 9, {"closed": F.col("status") == "closed"}) == {"rows": 9, "closed": 0}
+    assert as_dict(spark.read.schema(rows.schema).parquet(path)) == as_dict(rows)
+    for expected, none_of, message in (
+        (10, None, "9 rows instead of 10"),
+        (None, {"in SP": F.col("region") == "SP"}, "3 rows: in SP"),
+    ):
+        refused = work_dir(spark, "load")
+        with pytest.raises(ld.WrongCount, match=message):
+            ld.load(rows, refused, expected, none_of)
+        assert not path_exists(spark, refused)
+    assert ld.load(rows.limit(0), work_dir(spark, "load"), 0) == {"rows": 0}
+
+
+def test_upserts_touch_only_buckets_of_changed_keys(spark):
+    log = ledger(spark)
+    log.append(seed_rows(spark, 40), T0)
+    topic, out, cp = (work_dir(spark, n) for n in ("topic", "view", "cp"))
+
+    def consume(messages):
+        messages.write.mode("append").parquet(topic)
+        stream = spark.readStream.schema("key string, value string").parquet(topic)
+        feed.upsert_stream(stream, out, cp, buckets=6).awaitTermination()
+
+    consume(ms.change_messages(log.changes()))
+    before = {b: files(spark, b) for b in files(spark, out) if "bucket=" in b}
+    assert len(before) == 6
+    log.merge(spark.createDataFrame([(3, "delete", None, None, None, None, at(1))], ch.OPS), at(1))
+    consume(ms.change_messages(log.changes(1)))
+    assert sum(files(spark, b) != before[b] for b in before) == 1
+    assert as_dict(feed.read_upserts(spark, out)) == as_dict(log.read())

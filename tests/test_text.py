@@ -240,3 +240,14 @@ def test_uuid5(values):
     assert values(names, lambda c: ids.uuid5(F.col(c))) == [str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in names]
     got = values(["k"], lambda c: F.array(ids.point_id(F.col(c), F.lit("")), ids.point_id(F.col(c), F.lit("cause"))))
     assert got[0] == [str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in ("k", "k#cause")]
+
+
+def test_chunks_of_texts_with_the_marks_between_paragraphs(values):
+    texts = [f"a{m}b\n{m * 2}\nccc{m}\n{'d' * 30}{m}\n\ne" for m in chunking.MARKS]
+    assert values(texts, lambda c: chunking.chunks(c, 12, 3, "\n")) == [packed(t, 12, 3, "\n") for t in texts]
+
+
+def test_chunks_of_a_hundred_thousand_paragraphs(values):
+    text = "\n\n".join("p" * (i % 7 + 1) if i % 1000 else "long" * 600 for i in range(100_000))
+    (got,) = values([text], lambda c: chunking.chunks(c))
+    assert got == packed(text, 1000, 150, "\n\n")
