@@ -327,9 +327,13 @@ def _stats(kind: str, artefacts: str, alarm: str) -> str:
 
 DOCUMENTS = {
     "scan_reports": _with(
-        """SELECT source, true AS readable, sum(length(content) + 1) AS n_chars
-           FROM reports_raw JOIN documents USING (doc_id) GROUP BY source""",
-        _view("reports_raw"),
+        " UNION ALL ".join(
+            f"""SELECT '{folder}' AS family, array_to_string(string_split(path, '/')[-2:], '/') AS name, true AS readable,
+                       md5(content || chr(10)) AS digest FROM {family}_raw
+                UNION ALL SELECT '{folder}', 'broken', false, NULL"""
+            for folder, family in (("triage", "reports"), ("conclusions", "conclusions"), ("confirmations", "confirmations"))
+        ),
+        _view("reports_raw"), _view("conclusions_raw"), _view("confirmations_raw"),
     ),
     "front_matter": _with(
         """SELECT e.doc_id, e.key, e.is_list, v.pos, v.value FROM r_e e
@@ -359,11 +363,11 @@ DOCUMENTS = {
     "conclusion_roundtrip": _with(
         "SELECT dedup_key, outcome, verdict, confidence, reason, 'because' AS rationale FROM c_good", *CONCLUSIONS
     ),
-    "enriched_reports": _with(
+    **dict.fromkeys(("enriched_reports", "scan_enriched"), _with(
         """SELECT dedup_key, incident_key, coalesce(namespace, '') AS namespace, n_alerts, outcome, verdict, confidence, confirmation
            FROM enriched""",
         *ENRICHED,
-    ),
+    )),
     "enrichment_stats": _with(
         _stats("conclusion", "conclusions", "true") + " UNION ALL " + _stats("confirmation", "confirmations", "false"),
         *ENRICHED,
@@ -506,11 +510,17 @@ INDEX = {
         *CHUNKS,
     ),
     "embed_hash": _with(
-        f"""SELECT point_id, cast(64 AS bigint) AS dim, CASE WHEN count(*) FILTER (WHERE s <> 0) > 0 THEN 1.0 ELSE 0.0 END AS norm,
-               count(*) FILTER (WHERE s <> 0) AS used FROM (
+        f"""SELECT point_id, slot AS cell, round(s / sqrt(sum(s * s) OVER (PARTITION BY point_id)), 4) AS value FROM (
              SELECT point_id, ({BUCKET} // 2) % 64 AS slot, sum(CASE WHEN {BUCKET} % 2 = 0 THEN 1 ELSE -1 END) AS s
              FROM (SELECT point_id, unnest(string_split_regex(trim(lower(text), {WS}), '\\s+')) AS w FROM sp) WHERE w <> ''
-             GROUP BY point_id, slot) GROUP BY point_id""",
+             GROUP BY point_id, slot) WHERE s <> 0""",
+        *SECTION_POINTS,
+    ),
+    "embed_hook": _with(
+        """SELECT point_id, cell, value FROM (
+             SELECT point_id, unnest([0, 1, 2, 3])::bigint AS cell,
+                    unnest([length(text) - length(replace(text, c, '')) for c in ['a', 'e', ' ', chr(10)]])::double AS value
+             FROM sp) WHERE value <> 0""",
         *SECTION_POINTS,
     ),
     "index_upsert": f"{OLD_RUN} AND label < 4 UNION ALL {NEW_RUN}",
@@ -574,6 +584,14 @@ ATTRS = [
 CLASSIFICATION = {
     "classify_pending": _with(f"SELECT dedup_key FROM reports WHERE {PENDING}", *REPORTS),
     "reclassify_scope": _with("SELECT dedup_key FROM reports WHERE namespace = 'src3'", *REPORTS),
+    "classify_hook": _with(
+        """SELECT dedup_key, CASE WHEN n IN (2, 3) THEN 'diagnosed' WHEN n = 4 THEN 'inconclusive' END AS outcome,
+                  CASE WHEN n IN (2, 3) THEN length(body) || ' characters' END AS verdict,
+                  CASE WHEN n IN (2, 3) THEN 'high' END AS confidence, CASE WHEN n = 4 THEN 'too long' END AS reason,
+                  CASE n WHEN 0 THEN 'call failed: busy' WHEN 1 THEN 'unknown outcome' END AS error
+           FROM (SELECT *, length(body) % 5 AS n FROM reports)""",
+        *REPORTS,
+    ),
     "classify_rule": _with(f"SELECT {FIELDS} FROM scored", *CLASSIFIED),
     "call_attrs": _with(
         """SELECT dedup_key, attr, value FROM attrs

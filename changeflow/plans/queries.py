@@ -308,18 +308,40 @@ def _enriched(spark, sf):
     return pt.enrich(_reports(spark, sf), _conclusions(spark, sf), _confirmations(spark, sf), RUN_ID)
 
 
-def scan_reports(spark, sf):
-    """The reports written out as text files, found by glob and measured per source."""
+FAMILIES = {"triage": "reports", "conclusions": "conclusions", "confirmations": "confirmations"}
+
+
+def _files(spark, sf):
+    """Reports, conclusions and confirmations as text files below one root, one file each, and a broken one per family."""
     root = work_dir(spark, "texts")
-    source = views.table(spark, sf, "documents").select("doc_id", "source")
-    files = _raw(spark, sf).join(source, "doc_id").select("source", F.col("content").alias("value"))
-    files.write.partitionBy("source").option("maxRecordsPerFile", 100_000).text(f"{root}/triage")
-    found = docs.scan_texts(spark, root, ["triage/**/*.txt"])
-    return found.groupBy(F.regexp_extract("path", "source=([^/]*)", 1).alias("source")).agg(
-        F.bool_and("readable").alias("readable"), F.sum(F.length("content")).alias("n_chars")
+    for folder, family in FAMILIES.items():
+        rows = _raw(spark, sf, family).select(F.substring_index("path", "/", -2).alias("name"), F.col("content").alias("value"))
+        broken = spark.range(1).select(F.lit("broken").alias("name"), F.unhex(F.lit("C328FF")).cast("string").alias("value"))
+        rows.unionByName(broken).write.partitionBy("name").text(f"{root}/{folder}")
+    return root
+
+
+def _globs(folder):
+    return [f"{folder}/**/*.txt"]
+
+
+def scan_reports(spark, sf):
+    """Every file of the three families as the scan finds it: readable or set aside, and what is in it."""
+    found = docs.scan_texts(spark, _files(spark, sf), [g for folder in FAMILIES for g in _globs(folder)])
+    return found.select(
+        F.substring_index("path", "/", 1).alias("family"),
+        F.url_decode(F.regexp_extract("path", "/name=([^/]*)/", 1)).alias("name"),
+        "readable",
+        F.md5("content").alias("digest"),
     )
 
 
+def scan_enriched(spark, sf):
+    """Reports read from their files and joined with the conclusions and confirmations read from theirs."""
+    globs = (_globs(folder) for folder in FAMILIES)
+    return _payload(jobs.enriched_reports(spark, _files(spark, sf), RUN_ID, *globs))
+
+
 def front_matter(spark, sf):
     return rp.front_matter_rows(rp.parsed(_raw(spark, sf)), "doc_id").select(
         "doc_id", "key", "is_list", F.col("pos").cast("bigint").alias("pos"), "value"
@@ -389,9 +411,9 @@ def conclusion_roundtrip(spark, sf):
     )
 
 
-def enriched_reports(spark, sf):
+def _payload(enriched):
     m = "metadata."
-    return _enriched(spark, sf).select(
+    return enriched.select(
         "dedup_key",
         f"{m}incident_key",
         f"{m}namespace",
@@ -403,6 +425,10 @@ def enriched_reports(spark, sf):
     )
 
 
+def enriched_reports(spark, sf):
+    return _payload(_enriched(spark, sf))
+
+
 def _artefacts(spark, sf):
     return {"conclusion": _conclusions(spark, sf), "confirmation": _confirmations(spark, sf)}
 
@@ -462,14 +488,24 @@ def point_ids(spark, sf):
     )
 
 
+def _cells(points):
+    """One row per cell of a vector that is not zero."""
+    cells = points.select("point_id", F.posexplode("vector").alias("cell", "value")).filter("value <> 0")
+    return cells.select("point_id", F.col("cell").cast("bigint").alias("cell"), F.round(F.col("value").cast("double"), 4).alias("value"))
+
+
 def embed_hash(spark, sf):
-    points = with_vectors(pt.points_sections(_enriched(spark, sf)))
-    norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    used = F.size(F.filter("vector", lambda x: x != 0))
-    return points.select(
-        "point_id", F.size("vector").cast("bigint").alias("dim"), F.round(norm, 4).alias("norm"),
-        used.cast("bigint").alias("used"),
-    )
+    return _cells(with_vectors(pt.points_sections(_enriched(spark, sf))))
+
+
+def _letter_counts():
+    """A model for the hook: how often a text has each of four characters."""
+    return lambda texts: [[t.count(c) for c in "ae \n"] for t in texts]
+
+
+def embed_hook(spark, sf):
+    """Vectors of a model that is passed in."""
+    return _cells(with_vectors(pt.points_sections(_enriched(spark, sf)), _letter_counts))
 
 
 def _two_runs(spark, sf):
@@ -581,6 +617,33 @@ def classify_rule(spark, sf):
     return cl.score(_reports(spark, sf)).select("dedup_key", "outcome", "verdict", "confidence")
 
 
+def _client():
+    """A scorer for the hook whose answers and failures follow from the length of a body.
+
+    Of five lengths one always fails, one gets an answer that is no conclusion, and one fails when it is first asked.
+    """
+    asked = set()
+
+    def ask(bodies):
+        (body,) = bodies
+        kind = len(body) % 5
+        first = body not in asked
+        asked.add(body)
+        if kind == 0 or (kind == 2 and first):
+            raise OSError("busy")
+        outcome = "maybe" if kind == 1 else cl.DIAGNOSED if kind < 4 else cl.INCONCLUSIVE
+        told = {"verdict": f"{len(body)} characters", "confidence": "high"} if kind < 4 else {"reason": "too long"}
+        return [{"outcome": outcome, "rationale": "counted", **told}]
+
+    return ask
+
+
+def classify_hook(spark, sf):
+    """Scores of a client that is passed in, with what became of every report."""
+    scored = cl.score(_reports(spark, sf), cl.batch_scorer(_client, retries=1, batch=1))
+    return scored.select("dedup_key", "outcome", "verdict", "confidence", "reason", "error")
+
+
 def call_attrs(spark, sf):
     """Attributes of all calls: each report's own and what its result adds."""
     reports = _reports(spark, sf)
@@ -641,12 +704,12 @@ QUERIES: dict[str, Query] = {
         last_op_per_key, op_mix, max_key, dup_keys, batch_diff, merge_round, change_rows, two_rounds,
         counted_load, state_as_of, state_current, adhoc_sql, cdf_messages, cdf_stream, hydrate_messages, upsert_view,
         upsert_stream, origin_parity, history_head, hours_since_op, maintenance_due,
-        migrations_pending, migrate_run, scan_reports, front_matter, unquote, quote_roundtrip, report_body,
+        migrations_pending, migrate_run, scan_reports, scan_enriched, front_matter, unquote, quote_roundtrip, report_body,
         report_skips, reports_parsed, mirror_path, conclusions_valid, confirmations_valid,
         conclusion_markdown, conclusion_roundtrip, enriched_reports, enrichment_stats, orphans,
-        points_whole, sections, points_sections, heading_norm, point_ids, embed_hash, index_upsert,
+        points_whole, sections, points_sections, heading_norm, point_ids, embed_hash, embed_hook, index_upsert,
         index_gc, reconcile, schema_guard, cosine_topk, filtered_topk, point_filter, classify_pending,
-        reclassify_scope, call_attrs, classify_rule, classify_run, conclusion_write, classify_summary, run_metrics,
+        reclassify_scope, call_attrs, classify_hook, classify_rule, classify_run, conclusion_write, classify_summary, run_metrics,
         trace_attrs, domain_attrs, cost_per_session, flagship,
     )
 }
