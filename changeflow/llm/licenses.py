@@ -9,94 +9,79 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.session import work_dir
+from changeflow.llm import license_texts
+from changeflow.llm.common import written
 
 SHINGLE = 5  # words
 CONTAINED = 0.75  # of a template's shingles
-WINDOW = 4  # shingles, so eight words
-STRIDE = 2  # shingles between windows of a text; templates have a window at every shingle
-# One hash a band: a window shares a band with a template's with at least 1 - (1 - J)^BANDS. A notice of one
-# shingle stands in two windows, J = 1/4 in each: 1 - 0.75^24 > 0.998. Longer notices: beyond 0.9999.
-BANDS = 12
+WINDOW = 2  # shingles of a text's window, so six words; windows start at every shingle and one before the first
+# One hash a band: under each seed a window keeps its least hash, a template all of its own. A shared shingle is in two
+# windows and is missed under a seed if its hash is greater than both neighbours', with 1/3; under all of them with
+# 3^-8 < 0.00016. The first and the last shingle of a text have a window of their own and are never missed.
+BANDS = 8
 BROADCAST_ROWS = 500_000  # band keys of templates, or keys of documents (24 bytes each), sent to executors, at most
 
-#: Fixed texts: notices as they are put into documents.
-NOTICES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    (
-        "Apache-2.0-header",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
-        "compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, "
-        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS '
-        "OF ANY KIND, either express or implied.",
-    ),
-    ("MIT", "Released under the MIT License."),
-    (
-        "MIT-header",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without '
-        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
-        "Software, and to permit persons to whom the Software is furnished to do so.",
-    ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "GPL-header",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation.",
-    ),
-    (
-        "BSD-header",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met.",
-    ),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
-
-def notices(spark: SparkSession, texts: tuple[tuple[str, str], ...] = NOTICES) -> DataFrame:
-    """`template, text` of the given notices."""
-    rows = [F.struct(F.lit(name).alias("template"), F.lit(text).alias("text")) for name, text in texts]
+
+def notices(spark: SparkSession, texts: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """`template, text` of the given notices, of those of `license_texts` by default."""
+    rows = [F.struct(F.lit(name).alias("template"), F.lit(text).alias("text")) for name, text in texts or license_texts.notices()]
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def shingles(text: Column) -> Column:
-    """Hashes of the five-word shingles, in order, repeats included. Words are lower-cased ASCII letters and digits."""
-    plain = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", F.lit(" ")))
-    words = F.split(plain, " ")
+def tokens(text: Column) -> Column:
+    """Lower-cased runs of ASCII letters and digits; one empty word for a text without any."""
+    return F.split(F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+", F.lit(" "))), " ")
+
+
+def grams(text: Column, widths: list[int]) -> Column:
+    """For each of the ascending `widths` the hashes of all runs of so many words, in order, repeats included."""
+
+    def grown(hashed: Column, w: Column, n: int) -> Column:
+        # The last entries run past the end; they are cut off.
+        whole = F.slice(hashed, F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(0)))
+        if n == widths[-1]:
+            return F.array(whole)
+        longer = F.zip_with(hashed, F.slice(w, F.lit(n + 1), F.lit(1 << 30)), lambda a, b: F.xxhash64(a, b))
+        rest = F.transform(F.array(longer), lambda h: grown(h, w, n + 1))[0]
+        return F.concat(F.array(whole), rest) if n in widths else rest
 
     def chained(w: Column) -> Column:
-        h = F.transform(w, lambda x: F.xxhash64(x))
-        for i in range(2, SHINGLE + 1):
-            # The last entries run past the end; they are cut off below.
-            h = F.zip_with(h, F.slice(w, F.lit(i), F.lit(1 << 30)), lambda a, b: F.xxhash64(a, b))
-        return F.slice(h, F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(0)))
+        first = F.transform(w, lambda x: F.xxhash64(x))
+        return F.transform(F.array(first), lambda h: grown(h, w, 1))[0]
 
-    return F.transform(F.array(words), chained)[0]
+    return F.transform(F.array(tokens(text)), chained)[0]
 
 
-def bands(texts: DataFrame, stride: int) -> DataFrame:
-    """The band keys of all windows over the column `hashes`, one row each: a window's least hash under each seed.
+def bands(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """The band keys of all windows over the column `grams`, one row each: a window's least hash under each seed.
 
-    Windows and seeds are rows that live inside one generated loop, not arrays:
-    nothing is materialised before the keys are joined. An outer explode keeps
-    the optimizer from computing the shingles once more in a filter.
+    Runs of fewer than five words, for templates that have no more, are keys
+    themselves. Windows and seeds are rows that live inside one generated
+    loop, not arrays: nothing is materialised before the keys are joined. An
+    outer explode keeps the optimizer from computing the grams once more in a
+    filter.
     """
-    starts = F.when(F.size("hashes") > 0, F.sequence(F.lit(0), F.size("hashes") - 1, F.lit(stride)))
+    last = F.size(F.get("grams", F.lit(0))) - 1  # the shortest width has the most runs
+    starts = F.sequence(F.lit(1 - WINDOW), F.greatest(last, F.lit(1 - WINDOW)))
     windows = texts.withColumn("start", F.explode_outer(starts))
-    seeded = windows.withColumn("seed", F.explode_outer(F.array(*[F.lit(s) for s in range(BANDS)])))
-    inside = [F.get("hashes", F.col("start") + i) for i in range(WINDOW)]
-    key = F.least(*[F.when(x.isNotNull(), F.xxhash64(x, "seed")) for x in inside])
-    return seeded.withColumn("key", key).drop("hashes", "start", "seed")
+    seeds = [*range(BANDS), *[-n for n in widths if n < SHINGLE]]
+    seeded = windows.withColumn("seed", F.explode_outer(F.array(*[F.lit(s) for s in seeds])))
+    key = F.least(*[_keyed(F.get(F.get("grams", F.lit(len(widths) - 1)), F.col("start") + i)) for i in range(WINDOW)])
+    for i, n in enumerate(widths):
+        if n < SHINGLE:
+            key = F.when(F.col("seed") == -n, _keyed(F.get(F.get("grams", F.lit(i)), F.col("start")))).otherwise(key)
+    return seeded.withColumn("key", key).drop("grams", "start", "seed")
+
+
+def _keyed(x: Column) -> Column:
+    return F.when(x.isNotNull(), F.xxhash64(x, "seed"))
 
 
-def _written(frame: DataFrame, name: str) -> DataFrame:
-    path, schema = work_dir(frame.sparkSession, name), frame.schema
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(schema).parquet(path)
+def _template_keys(known: DataFrame) -> DataFrame:
+    """`template, key`: every shingle under every seed; of a short template its one run of words."""
+    seeds = F.when(F.col("width") < SHINGLE, F.array(-F.col("width"))).otherwise(F.array(*[F.lit(s) for s in range(BANDS)]))
+    rows = known.select("template", "width", F.explode("own").alias("h")).withColumn("seed", F.explode(seeds))
+    return rows.select("template", _keyed(F.col("h")).alias("key")).distinct()
 
 
 def _small(frame: DataFrame) -> DataFrame:
@@ -108,29 +93,34 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """`doc_id, template, n_shared, n_template, containment`, a row per document and template it contains.
 
     A template is contained if the text holds `CONTAINED` of its distinct
-    shingles. `templates` has `template` and `text`; those of fewer than
-    five words have no shingle and are never found. Null and empty texts
-    contain nothing. A row that repeats an id and a text is one document;
-    rows that repeat an id with another text are documents of their own.
-    Null ids take part and stay null.
+    shingles; one of fewer than five words is one shingle of all its words.
+    `templates` has `template` (one row a name) and `text`; those without a word are never found.
+    Null and empty texts contain nothing. A row that repeats an id and a text
+    is one document; rows that repeat an id with another text are documents of
+    their own. Null ids take part and stay null.
 
     Windows of a text never leave its row before they have met the band keys;
     only documents with a hit are read a second time.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("th", F.xxhash64("text"))
-    known = templates.select("template", shingles(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
-    known = _written(known, "templates")
-    keys = _written(bands(known, 1).distinct(), "keys")
-    texts = docs.select("doc_id", "th", shingles(F.col("text")).alias("hashes"))
-    met = bands(texts, STRIDE).join(_small(keys), "key")
-    hits = _written(met.select("doc_id", "th", "template").distinct(), "hits")
-    listed = _small(_written(hits.select("doc_id", "th").distinct(), "listed"))
+    every = list(range(1, SHINGLE + 1))
+    words = tokens(F.col("text"))
+    known = templates.select("template", "text", F.least(F.size(words), F.lit(SHINGLE)).alias("width")).filter(words[0] != "")
+    own = F.array_distinct(F.get(grams(F.col("text"), every), F.col("width") - 1))
+    known = written(known.select("template", "width", own.alias("own")), "templates")
+    widths = sorted({r["width"] for r in known.select("width").distinct().collect()} | {SHINGLE})  # five at most
+    keys = written(_template_keys(known), "keys")
+    texts = docs.select("doc_id", "th", grams(F.col("text"), widths).alias("grams"))
+    met = bands(texts, widths).join(_small(keys), "key")
+    hits = written(met.select("doc_id", "th", "template").distinct(), "hits")
+    listed = _small(written(hits.select("doc_id", "th").distinct(), "listed"))
     same = docs["doc_id"].eqNullSafe(listed["doc_id"]) & (docs["th"] == listed["th"])
-    held = docs.join(listed, same, "left_semi").select("doc_id", "th", F.array_distinct(shingles(F.col("text"))).alias("held"))
+    held = F.array_distinct(F.flatten(grams(F.col("text"), widths)))
+    held = docs.join(listed, same, "left_semi").select("doc_id", "th", held.alias("held"))
     held = held.dropDuplicates(["doc_id", "th"]).alias("d")
     pairs = held.join(
         hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("d.th") == F.col("h.th"))
-    ).join(_small(known.select("template", F.array_distinct("hashes").alias("own"))), "template")
+    ).join(_small(known.select("template", "own")), "template")
     shared = F.size(F.array_intersect("own", "held"))
     return (
         pairs.select(

@@ -20,7 +20,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+    return found.withColumn("license", F.substring_index("template", "/", 1))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
