@@ -79,6 +79,8 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
+    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= max_chars).select("doc_id")
+    known = known.join(short, "doc_id", "left_semi")  # ids are drawn among texts that may be taken
     ids = None
     for y, n in ((0, zeros), (1, ones)):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)

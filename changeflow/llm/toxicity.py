@@ -44,7 +44,7 @@ class NoisyOr:
     constant: float | None = None  # the score of every text where nothing could be learned
 
     def sentences(self, text: str) -> Iterator[tuple[int, int, float]]:
-        """(start, end, p) of every sentence with a weighted word. All others have p = sigmoid(bias)."""
+        """(start, end, p) of every sentence with a weighted word. All others are no instances and have none."""
         get, lowered = self.weights.get, text.lower()
         if len(lowered) != len(text):  # a letter grew when lowered: offsets must stay those of the text
             lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -58,7 +58,7 @@ class NoisyOr:
         self.heads = {w.removesuffix("-")[: STEMS[0]] for w in self.weights}
 
     def score(self, text: str | None) -> float:
-        """1 - product of (1 - p) over the sentences. Sentences without a weighted word count as harmless."""
+        """1 - product of (1 - p) over the sentences. Those without a weighted word are left out, as in the fit."""
         if self.constant is not None:
             return self.constant
         # Most texts hold no word that starts like a weighted one.
@@ -112,8 +112,7 @@ def fit_texts(sample: list[tuple[str, int]]) -> NoisyOr:
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta += 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    # A word that cannot lift a sentence by itself or with a few others is noise and slows scoring.
-    return NoisyOr({w: float(v) for w, v in zip(vocabulary, theta, strict=False) if v > 0.5}, float(theta[-1]))
+    return NoisyOr(dict(zip(vocabulary, theta[:-1].tolist(), strict=True)), float(theta[-1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, toxic: int = TOXIC, clean: int = CLEAN) -> NoisyOr:

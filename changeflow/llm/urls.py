@@ -2,7 +2,9 @@
 
 Segments that vary become wildcards, branches that behave alike are merged,
 and a template is rejected if the smoothed share of its labelled URLs that are
-to be blocked is high. Everything is an aggregate over counted paths.
+to be blocked is high; templates with few or no labels lean on those above
+them, and on the same template of all hosts. Everything is an aggregate over
+counted paths.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.session import work_dir
+from changeflow.llm.common import written
 
 #: The rules of the contract: verdict, then host and path.
 RULES = (
@@ -20,11 +22,11 @@ RULES = (
     ("block", "net/es/"), ("block", "net/fr/"),
 )
 
-DEPTH = 6  # levels of the tree; what lies deeper is one last segment
 VARIABLE_CHILDREN = 8  # a node with at least so many rare children has a variable segment
 RARE_SHARE = 0.02  # a child with a smaller share of its node's URLs is rare
 ALIKE_Z = 1.96  # branches whose blocked shares differ by less (standard errors) are merged
-SMOOTHING, PRIOR = 10.0, 0.5  # how many labelled URLs the prior share counts as; without labels nothing is rejected
+SMOOTHING = 10.0  # how many labelled URLs the share that a template backs off to counts as
+PRIOR = 0.5  # the share where no template that begins alike has labels on any host: nothing is rejected there
 BLOCK_SHARE = 0.7  # smoothed share of blocked ones from which a template is rejected
 BROADCAST_ROWS = 200_000  # templates sent to all executors, at most
 SALTS = 16
@@ -56,7 +58,7 @@ def ruled(rules: tuple[tuple[str, str], ...] = RULES) -> tuple[Column, Column]:
 
 
 def shapes(path: Column) -> Column:
-    """The segments of a path with numbers, hexadecimal ids and dates made general; the deepest ones joined."""
+    """The segments of a path with numbers, hexadecimal ids and dates made general."""
     kinds = (
         (r"[0-9]{4}-[0-9]{2}(-[0-9]{2})?", "<date>"),
         (r"[0-9a-fA-F]{8}-[0-9a-fA-F-]{27}|(?=[0-9a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{16,}", "<id>"),
@@ -68,41 +70,75 @@ def shapes(path: Column) -> Column:
             segment = F.regexp_replace(segment, rf"(?<![\p{{L}}0-9<])(?:{pattern})(?![\p{{L}}0-9>])", name)
         return segment
 
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    deep = F.slice(F.transform(parts, shape), 1, DEPTH)
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(deep, 1, DEPTH - 1), F.array(F.lit("**")))).otherwise(deep)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
 
 
 def templates(counted: DataFrame) -> DataFrame:
     """`host, shape` with `template`, from rows `host, shape, n, blocked, allowed` with one row per host and shape.
 
     Level by level: under a node that has at least `VARIABLE_CHILDREN` rare
-    children those become `*`. Counts are summed per node and child first, so
-    neither a large host nor a node with many children meets in one task.
+    children those become `*`. A node with fewer shapes below it can have no
+    such node below it, so its shapes are finished as they are; the levels go
+    on until no other node is left, however deep. Counts are summed per node
+    and child first, so neither a large host nor a node with many children
+    meets in one task.
     """
-    spark = counted.sparkSession
-    tree = counted.select("host", "shape", "n", F.array().cast("array<string>").alias("template"))
-    for level in range(1, DEPTH + 1):
-        part = tree.withColumn("segment", F.get("shape", F.lit(level - 1)))
-        children = part.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
-        nodes = children.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        rare = children.join(nodes, ["host", "template"]).filter(F.col("n") < RARE_SHARE * F.col("total"))
+    open_, done, level = counted.select("host", "shape", "n", F.array().cast("array<string>").alias("template")), [], 0
+    rest = F.slice("shape", F.size("template") + 1, F.lit(1 << 30))
+    while True:
+        # Nodes that may still branch; the last segment of a shape ends it.
+        nodes = open_.groupBy("host", "template").agg(F.count("*").alias("shapes"), F.sum("n").alias("total"))
+        part = open_.join(nodes, ["host", "template"])
+        ends = (F.col("shapes") < VARIABLE_CHILDREN) | (F.size("shape") <= level)
+        part = written(part.withColumn("ends", ends), "tree")  # levels do not pile up in one plan
+        done.append(part.filter("ends").select("host", "shape", F.concat("template", rest).alias("template")))
+        part = part.filter("not ends").withColumn("segment", F.get("shape", F.lit(level)))
+        if part.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        children = part.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.first("total").alias("total"))
+        rare = children.filter(F.col("n") < RARE_SHARE * F.col("total"))
         wide = rare.groupBy("host", "template").agg(F.count("*").alias("k")).filter(F.col("k") >= VARIABLE_CHILDREN)
         general = rare.join(wide, ["host", "template"], "left_semi").select("host", "template", "segment")
-        general = general.withColumn("star", F.lit("*"))
-        tree = part.join(general, ["host", "template", "segment"], "left").select(
-            "host",
-            "shape",
-            "n",
-            F.when(F.col("segment").isNull(), F.col("template"))
-            .otherwise(F.concat("template", F.array(F.coalesce("star", "segment"))))
-            .alias("template"),
+        open_ = part.join(general.withColumn("star", F.lit("*")), ["host", "template", "segment"], "left").select(
+            "host", "shape", "n", F.concat("template", F.array(F.coalesce("star", "segment"))).alias("template")
         )
-        path = work_dir(spark, "tree")  # levels do not pile up in one plan
-        schema = tree.schema
-        tree.write.parquet(path)
-        tree = spark.read.schema(schema).parquet(path)
-    return tree.select("host", "shape", "template")
+        level += 1
+
+
+def _prefixes(frame: DataFrame) -> DataFrame:
+    """A row per beginning of `template`: its length `k` and its hash `node`."""
+    beginnings = F.transform("template", lambda _, i: F.xxhash64(F.slice(F.col("template"), F.lit(1), i + 1)))
+    return frame.select("*", F.posexplode(beginnings).alias("k", "node"))
+
+
+def backed_off(labelled: DataFrame) -> DataFrame:
+    """`host, template, purity` from `host, template, blocked, seen`, one row a template; `own` and `of` are its branch's.
+
+    The share of blocked ones is smoothed from the general to the special:
+    from `PRIOR` through the beginnings of the template over all hosts, then
+    through its beginnings on its own host, then its branch. Each step counts
+    the share before it as `SMOOTHING` URLs, so a step without labels changes
+    nothing. The empty beginning takes no part: that some of a host is
+    labelled says nothing about the rest of it.
+    """
+    nodes = _prefixes(labelled.filter("seen > 0").select("host", "template", "blocked", "seen"))
+    by_host = nodes.groupBy("host", "k", "node").agg(F.sum("blocked").alias("hb"), F.sum("seen").alias("hs"))
+    by_host = written(by_host, "nodes")
+    anywhere = by_host.groupBy("k", "node").agg(F.sum("hb").alias("gb"), F.sum("hs").alias("gs"))
+    steps = _prefixes(labelled.select("host", "template"))
+    steps = steps.join(by_host, ["host", "k", "node"], "left").join(anywhere, ["k", "node"], "left").na.fill(0)
+    chain = F.sort_array(F.collect_list(F.struct("k", "hb", "hs", "gb", "gs"))).alias("chain")
+    chains = steps.groupBy("host", "template").agg(chain)
+    joined = labelled.join(chains, ["host", "template"], "left")
+
+    def smoothed(share: Column, blocked: Column, seen: Column) -> Column:
+        return (blocked + SMOOTHING * share) / (seen + SMOOTHING)
+
+    chain = F.coalesce("chain", F.array().cast(chains.schema["chain"].dataType))
+    general = F.aggregate(chain, F.lit(PRIOR), lambda share, s: smoothed(share, s["gb"], s["gs"]))
+    above = F.slice(chain, F.lit(1), F.greatest(F.size(chain) - 1, F.lit(0)))  # the last one is the template, so the branch
+    hosted = F.aggregate(above, general, lambda share, s: smoothed(share, s["hb"], s["hs"]))
+    return joined.select("host", "template", smoothed(hosted, F.col("own"), F.col("of")).alias("purity"))
 
 
 def judged(counted: DataFrame, named: DataFrame) -> DataFrame:
@@ -112,14 +148,14 @@ def judged(counted: DataFrame, named: DataFrame) -> DataFrame:
     where the branches of that place are alike: the same template otherwise,
     and blocked shares within `ALIKE_Z` standard errors of their common one.
     Their labels then count together. A branch without labels is not like any
-    other. `purity` is the blocked share, smoothed towards `PRIOR`.
+    other. `purity` is the blocked share of the branch, smoothed by `backed_off`.
     """
     sums = (
         counted.join(named, ["host", "shape"]).groupBy("host", "template")
         .agg(*[F.sum(c).alias(c) for c in ("n", "blocked", "allowed")])
     )
     seen = F.col("blocked") + F.col("allowed")
-    place = F.array_position(F.transform("template", lambda s: ~s.isin("*", "**") & ~F.contains(s, F.lit("<"))), True)
+    place = F.array_position(F.transform("template", lambda s: (s != "*") & ~F.contains(s, F.lit("<"))), True)
     family = F.transform("template", lambda s, i: F.when(i + 1 == place, F.lit("~")).otherwise(s))
     sums = sums.withColumns({"family": family, "seen": seen})
     pooled = (
@@ -131,11 +167,12 @@ def judged(counted: DataFrame, named: DataFrame) -> DataFrame:
     alike = F.coalesce((F.abs(F.col("blocked") / F.nullif("seen", F.lit(0)) - rate) <= ALIKE_Z * error), F.lit(False))
     parts = sums.join(pooled, ["host", "family"], "left").withColumn("alike", alike & (F.col("members") > 1))
     parts = parts.withColumn("branch", F.when(F.col("alike"), F.col("family")).otherwise(F.col("template")))
-    merged = parts.groupBy("host", "branch").agg(F.sum("blocked").alias("mb"), F.sum("seen").alias("ms"))
-    purity = (F.col("mb") + SMOOTHING * PRIOR) / (F.col("ms") + SMOOTHING)
-    return parts.join(merged, ["host", "branch"]).select(
-        "host", "template", "branch", "n", "blocked", "allowed", purity.alias("purity"),
-        (purity >= BLOCK_SHARE).alias("rejected"),
+    parts = written(parts, "parts")
+    merged = parts.groupBy("host", "branch").agg(F.sum("blocked").alias("own"), F.sum("seen").alias("of"))
+    purities = backed_off(parts.join(merged, ["host", "branch"]))
+    return parts.join(purities, ["host", "template"]).select(
+        "host", "template", "branch", "n", "blocked", "allowed", "purity",
+        (F.col("purity") >= BLOCK_SHARE).alias("rejected"),
     )
 
 
@@ -148,7 +185,6 @@ def verdicts(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> Da
     are sent to all executors where they are few; otherwise pages join them by
     shuffle, dealt to `SALTS` parts so that no template's pages meet in one task.
     """
-    spark = pages.sparkSession
     rule, verdict = ruled(rules)
     rows = located(pages.select("page_id", "url")).withColumns({"rule": rule, "ruled": verdict})
     rows = rows.withColumn("shape", shapes(F.col("path")))
@@ -157,14 +193,10 @@ def verdicts(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> Da
         F.count_if(F.col("ruled") == "block").alias("blocked"),
         F.count_if(F.col("ruled") == "allow").alias("allowed"),
     )
-    path, schema = work_dir(spark, "shapes"), counted.schema
-    counted.write.parquet(path)
-    counted = spark.read.schema(schema).parquet(path)
-    named = templates(counted)
+    counted = written(counted, "shapes")
+    named = written(templates(counted), "named")
     known = named.join(judged(counted, named), ["host", "template"]).select("host", "shape", "template", "purity", "rejected")
-    path, schema = work_dir(spark, "templates"), known.schema
-    known.write.parquet(path)
-    known = spark.read.schema(schema).parquet(path)
+    known = written(known, "templates")
     if known.count() <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(known), ["host", "shape"], "left")
     else:

@@ -194,6 +194,39 @@ def test_url_tree_generalises_and_rejects(spark):
     assert all(r["purity"] >= urls.BLOCK_SHARE for r in got if r["path"].startswith("/bad/"))
 
 
+def test_url_templates_without_labels_lean_on_others(spark):
+    rules = (("block", "a.org/ads/"), ("allow", "a.org/news/"), ("block", "b.org/x/y/"))
+    rows = [f"http://a.org/{p}/{i}" for p in ("ads", "news") for i in range(60)]
+    rows += [f"http://b.org/{p}/{i}" for p in ("ads", "news", "other") for i in range(5)]
+    rows += [f"http://b.org/x/y/{i}" for i in range(60)] + ["http://b.org/x/z", "http://c.org/x"]
+    got = urls.verdicts(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()
+    by_path = {(r["host"], r["path"].rstrip("0123456789/")): r for r in got}
+    shares = {k: (r["rule"] is None, r["verdict"]) for k, r in by_path.items()}
+    assert shares[("b.org", "/ads")] == (True, "block")  # by the same template of another host
+    assert shares[("b.org", "/news")] == (True, "allow")
+    assert shares[("b.org", "/other")] == (True, "allow") and by_path[("b.org", "/other")]["purity"] == urls.PRIOR
+    assert shares[("b.org", "/x/z")] == (True, "block")  # by the node above it, on its own host
+    s = urls.SMOOTHING
+
+    def step(share, blocked, seen):
+        return (blocked + s * share) / (seen + s)
+
+    # /ads and /ads/<n> over all hosts, 60 blocked; b.org has no labels there.
+    assert by_path[("b.org", "/ads")]["purity"] == pytest.approx(step(step(0.5, 60, 60), 60, 60))
+    assert by_path[("a.org", "/news")]["purity"] == pytest.approx(step(step(step(step(0.5, 0, 60), 0, 60), 0, 60), 0, 60))
+
+
+def test_url_tree_has_no_last_level(spark):
+    deep = "/".join("abcdefghijkl")
+    rules = (("block", f"h.org/{deep}/bad/"), ("allow", f"h.org/{deep}/good/"))
+    rows = [f"http://h.org/{deep}/{p}/item-{chr(97 + i % 26)}{chr(97 + i // 26)}" for p in ("bad", "good") for i in range(100)]
+    rows += ["http://h.org/" + "s/" * 3000]
+    got = urls.verdicts(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()
+    assert {r["template"] for r in got if "/bad/" in r["path"]} == {f"/{deep}/bad/*"}
+    assert {r["template"] for r in got if "/good/" in r["path"]} == {f"/{deep}/good/*"}
+    assert all(r["purity"] > 0.9 for r in got if "/bad/" in r["path"]) and all(r["purity"] < 0.1 for r in got if "/good/" in r["path"])
+
+
 # -- near duplicates -------------------------------------------------------
 
 
