@@ -27,8 +27,14 @@ SECTIONS = {
 }
 
 _WS = f"[{re.escape(WHITESPACE)}]"
+_BLANK = f"[{re.escape(WHITESPACE.replace(chr(10), ''))}]"
 HEADING = rf"^{_WS}{{0,3}}#{{1,2}}{_WS}+(.+?){_WS}*$"
-FENCE = r"^ {0,3}(`{3,}|~{3,})([^\n]*)$"
+# A fence, its information (without a backtick behind backticks), and all up to the line that closes it or the end.
+_FENCED = (
+    r" {0,3}(?<run>(?<mark>[`~])\k<mark>{2,}+)(?:(?<=`)[^`\n]*+|(?<=~)[^\n]*+)(?=\n|\z)"
+    rf"(?s:.*?)(?:\n {{0,3}}\k<run>\k<mark>*+{_BLANK}*+(?=\n|\z)|\z)"
+)
+BLOCK = rf"\G({_FENCED}|[^\n]*)(?:\n|\z)"
 
 
 def section_of(heading: Column) -> Column:
@@ -36,60 +42,33 @@ def section_of(heading: Column) -> Column:
     return F.try_element_at(lookup, heading_name(heading))
 
 
-def headings(body_lines: Column) -> Column:
-    """`array<struct<at: int, name: string>>` of level 1-2 headings outside fences.
+def blocks(body: Column) -> Column:
+    """The lines of a body, each fenced block as one entry; joined by line feeds they are the body.
 
-    Only lines that could be a heading or a fence are looked at one by one.
+    One pass of a regular expression, so no state is carried from line to line.
     """
-    marks = F.transform(
-        body_lines,
-        lambda l, i: F.when(
-            l.rlike(r"^[^#`~]{0,3}[#`~]"),
-            F.struct(
-                i.alias("at"),
-                F.regexp_extract(l, FENCE, 1).alias("fence"),
-                strip(F.regexp_extract(l, FENCE, 2)).alias("info"),
-                F.when(l.rlike(HEADING), F.regexp_extract(l, HEADING, 1)).alias("name"),
-            ),
-        ),
-    )
-    candidates = F.filter(marks, lambda m: (m["fence"] != "") | m["name"].isNotNull())
-
-    def step(state: Column, m: Column) -> Column:
-        opened, found = state["fence"], state["found"]
-        closes = (
-            F.startswith(m["fence"], opened) & (m["info"] == "")
-        )  # same mark, no shorter
-        opens = (m["fence"] != "") & ~(F.startswith(m["fence"], F.lit("`")) & F.contains(m["info"], F.lit("`")))
-        fence = (
-            F.when(opened != "", F.when(closes, "").otherwise(opened))
-            .when(opens, m["fence"])
-            .otherwise("")
-        )
-        head = (opened == "") & m["name"].isNotNull()
-        return F.struct(
-            fence.alias("fence"),
-            F.when(
-                head, F.concat(found, F.array(F.struct(m["at"].alias("at"), m["name"].alias("name"))))
-            )
-            .otherwise(found)
-            .alias("found"),
-        )
+    return F.regexp_extract_all(body, F.lit(BLOCK), 1)
+
 
-    start = F.struct(
-        F.lit("").alias("fence"), F.array().cast("array<struct<at:int,name:string>>").alias("found")
+def headings(body_blocks: Column) -> Column:
+    """`array<struct<at: int, name: string>>` of level 1-2 headings among the blocks; a fenced block is none."""
+    found = F.transform(
+        body_blocks,
+        lambda b, i: F.when(
+            b.rlike(HEADING), F.struct(i.alias("at"), F.regexp_extract(b, HEADING, 1).alias("name"))
+        ),
     )
-    return F.aggregate(candidates, start, step, lambda s: s["found"])
+    return F.array_compact(found)
 
 
 @built_once
 def sections(body: str) -> Column:
     """`array<struct<section, text>>`, at most one entry per known section."""
 
-    def between(ls: Column, heads: Column) -> Column:
+    def between(bs: Column, heads: Column) -> Column:
         def cut(h: Column, i: Column) -> Column:
-            end = F.coalesce(F.get(heads, i + 1)["at"], F.size(ls))
-            text = strip(F.array_join(F.slice(ls, h["at"] + 2, end - h["at"] - 1), "\n"))
+            end = F.coalesce(F.get(heads, i + 1)["at"], F.size(bs))
+            text = strip(F.array_join(F.slice(bs, h["at"] + 2, end - h["at"] - 1), "\n"))
             return F.struct(section_of(h["name"]).alias("section"), text.alias("text"))
 
         cuts = F.filter(
@@ -104,4 +83,4 @@ def sections(body: str) -> Column:
 
         return let(cuts, last)
 
-    return let(F.split(F.col(body), "\n"), lambda ls: let(headings(ls), lambda heads: between(ls, heads)))
+    return let(blocks(F.col(body)), lambda bs: let(headings(bs), lambda heads: between(bs, heads)))

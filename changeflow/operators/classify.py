@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import frontmatter as fm
-from changeflow.functions.sections import headings, sections
+from changeflow.functions.sections import blocks, headings, sections
 from changeflow.functions.text import built_once, heading_name, let, strip, unpacked
 from changeflow.operators.artefacts import (
     DIAGNOSED,
@@ -70,15 +70,15 @@ def select_reports(reports: DataFrame, existing: DataFrame, scope: Scope = MISSI
 
 @built_once
 def _confidence_line(body: str) -> Column:
-    """First word of the text below the last heading named `confianca`, in lower case."""
+    """First word of the first line below the last heading named `confianca`, in lower case."""
 
-    def below(ls: Column, heads: Column) -> Column:
+    def below(bs: Column, heads: Column) -> Column:
         own = F.filter(heads, lambda h: heading_name(h["name"]) == "confianca")
         at = F.try_element_at(own, F.lit(-1))["at"]
-        following = F.filter(F.slice(ls, at + 2, F.size(ls)), lambda l: strip(l) != "")
-        return F.regexp_extract(F.lower(F.get(following, F.lit(0))), r"(\p{L}+)", 1)
+        following = F.filter(F.slice(bs, at + 2, F.size(bs)), lambda b: strip(b) != "")
+        return F.regexp_extract(F.lower(F.get(following, F.lit(0))), r"^[^\n]*?(\p{L}+)", 1)
 
-    return let(F.split(F.col(body), "\n"), lambda ls: let(headings(ls), lambda heads: below(ls, heads)))
+    return let(blocks(F.col(body)), lambda bs: let(headings(bs), lambda heads: below(bs, heads)))
 
 
 # Stated confidence -> level.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from changeflow.functions.vectors import Embedder, with_vectors
-from changeflow.session import append_row, delete_path, path_exists
+from changeflow.session import append_row, delete_path, listed, path_exists
 
 # Payload fields that take a filter.
 FILTERABLE = ("namespace", "alertnames", "confirmation", "outcome", "confidence", "section")
@@ -76,10 +76,17 @@ def reconcile(points: DataFrame) -> DataFrame:
 
 
 class PointIndex:
-    """A collection of points on Parquet: one folder per run, a row names the live one."""
+    """A collection of points on Parquet: one folder per run, a row names the live one.
 
-    def __init__(self, spark: SparkSession, root: str, vector: str = "vector", dim: int = 64):
-        self.spark, self.root, self.vector, self.dim = spark, root.rstrip("/"), vector, dim
+    `grace` is how long a folder stays once another one is live, for jobs that
+    began to read it before; without it such a job can fail half-way. One run
+    refreshes a collection at a time.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, vector: str = "vector", dim: int = 64, grace: timedelta = timedelta(0)
+    ):
+        self.spark, self.root, self.vector, self.dim, self.grace = spark, root.rstrip("/"), vector, dim, grace
 
     RUNS = "run_id string, at timestamp, path string, vector string, dim int, points_in bigint, points bigint"
 
@@ -115,11 +122,14 @@ class PointIndex:
         so no copy is embedded and no vector is shuffled. The new folder is
         written, counted and checked for the dimension first; the collection
         changes only with the row that names it, so a refused run leaves it
-        untouched and its folder goes. The folder of the run before goes once
-        the new one is named.
+        untouched and its folder goes. An empty source is refused before
+        anything is embedded. Folders that were replaced, or left by a run that
+        died before naming its own, go once the grace period is over.
         """
-        exists, before = self.compatible(), self.live()
-        path = f"{self.root}/points/{run_id}-{uuid.uuid4().hex}"
+        exists = self.compatible()
+        if (exists or not allow_empty_first_run) and points.isEmpty():
+            guard_source(0, exists, allow_empty_first_run)
+        path = f"{self.root}/points/{_micros(now)}-{uuid.uuid4().hex}"
         merged = distinct_points(points, copies="_copies")
         if self.vector not in points.columns:
             merged = with_vectors(merged, embed, into=self.vector, dim=self.dim)
@@ -138,11 +148,38 @@ class PointIndex:
             raise
         row = (run_id, now, path, self.vector, self.dim, written["points_in"], written["points"])
         append_row(self.spark, f"{self.root}/runs", self.RUNS, *row)
-        if before is not None:
-            delete_path(self.spark, before["path"])
+        self._sweep(now)
         return {"points_in": written["points_in"], "points": written["points"]}
 
 
+    def _sweep(self, now: datetime) -> None:
+        """Delete folders that stopped being live, or were begun and never named, a grace period ago.
+
+        A folder stops being live when the next run is named; that run's folder
+        is still there, as it stops later. So the folders listed are enough.
+        """
+        folders = {path.rstrip("/").rsplit("/", 1)[-1]: path for path in listed(self.spark, f"{self.root}/points")}
+        named = self.runs().select("run_id", F.unix_micros("at").alias("at"), F.substring_index("path", "/", -1).alias("name"))
+        runs = sorted((r["at"], r["run_id"], r["name"]) for r in named.filter(F.col("name").isin(list(folders))).collect())
+        ends = {name: at for (_, _, name), (at, _, _) in zip(runs, runs[1:])}
+        ends.update({n: _begun(n) for n in folders.keys() - {name for _, _, name in runs}})
+        for name, end in ends.items():
+            if end + self.grace // timedelta(microseconds=1) <= _micros(now):
+                delete_path(self.spark, folders[name])
+
+
+def _micros(at: datetime) -> int:
+    """Microseconds since 1970; a time without a zone is in UTC."""
+    own = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    return (own - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
+def _begun(folder: str) -> int:
+    """When the run of a folder began, as its name says; 0 for names of another form."""
+    start = folder.partition("-")[0]
+    return int(start) if start.isdecimal() else 0
+
+
 def point_filter(**fields: str) -> Column:
     """Conjunction of exact matches on payload fields; a missing field never matches."""
     condition = F.lit(True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from changeflow.functions import frontmatter as fm
 from changeflow.functions import text as tx
 from changeflow.functions.ids import point_id
-from changeflow.functions.sections import headings
+from changeflow.functions.sections import blocks, headings
 from changeflow.functions.vectors import with_vectors
 from changeflow.operators import artefacts as ar
 from changeflow.operators import changes as ch
@@ -461,7 +461,7 @@ def points_sections(spark, sf):
 
 
 def heading_norm(spark, sf):
-    names = F.explode(headings(F.split("body", "\n"))).alias("h")
+    names = F.explode(headings(blocks(F.col("body")))).alias("h")
     return (
         _reports(spark, sf)
         .select(names)

@@ -62,6 +62,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder; nothing where there is none."""
+    fs, p = hadoop_path(spark, path)
+    return [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = hadoop_path(spark, path)
     fs.delete(p, True)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.operators import changes as ch
-from changeflow.session import append_row, delete_path, hadoop_path, path_exists
+from changeflow.session import append_row, delete_path, hadoop_path, listed, path_exists
 
 SPAN = 1000  # versions in one folder
 BUCKETS = 64
@@ -52,8 +52,7 @@ class Ledger:
         return [(int(v), int(t)) for v, _, t in (name.partition("-") for name in names)]
 
     def _listed(self, folder: str) -> list[str]:
-        fs, p = hadoop_path(self.spark, f"{self.root}/{folder}")
-        return [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return listed(self.spark, f"{self.root}/{folder}")
 
     def _version(self) -> int:
         head = self.head()

@@ -293,3 +293,42 @@ def test_index_keeps_its_dimension_and_one_folder(spark):
         index.refresh(p.withColumn("vector", F.array(F.lit(1.0).cast("float"))), "r4", T0 + timedelta(hours=3))
     assert [f for f in os.listdir(f"{root}/points") if not f.startswith(".")] == folders
     assert index.read().count() == 2
+
+
+def test_folders_stay_for_readers_and_no_orphan_stays(spark, monkeypatch):
+    def folders():
+        return {f for f in os.listdir(f"{root}/points") if not f.startswith(".")}
+
+    root = work_dir(spark, "ix")
+    index = ix.PointIndex(spark, root, dim=1, grace=timedelta(hours=1))
+    index.refresh(points(spark, [("1", "a", "old")], "r1"), "r1", T0)
+    open_before = index.read()
+    new = points(spark, [("1", "a", "new"), ("2", "a", "y")], "r2")
+    index.refresh(new, "r2", T0 + timedelta(hours=1))
+    assert [r["text"] for r in open_before.collect()] == ["old"]  # read across a refresh
+    assert index.read().count() == 2 and len(folders()) == 2
+
+    before = folders()
+    with monkeypatch.context() as m:
+        m.setattr(ix, "append_row", lambda *a: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(OSError):
+            index.refresh(new, "r3", T0 + timedelta(hours=1, minutes=30))
+    (orphan,) = folders() - before
+    index.refresh(new, "r4", T0 + timedelta(hours=2))  # r1 ended an hour ago, the orphan began half an hour ago
+    assert len(folders()) == 3 and orphan in folders()
+    index.refresh(new, "r5", T0 + timedelta(hours=3))
+    assert len(folders()) == 2 and orphan not in folders()
+    assert index.read().count() == 2
+
+
+def test_an_empty_source_is_refused_before_embedding(spark):
+    index = ix.PointIndex(spark, work_dir(spark, "ix"), dim=1)
+    some = points(spark, [("1", "a", "x")], "r1")
+    index.refresh(some, "r1", T0)
+
+    def never():
+        raise AssertionError("embedded")
+
+    with pytest.raises(ix.EmptySource):
+        index.refresh(some.drop("vector").filter("false"), "r2", T0 + timedelta(hours=1), embed=never)
+    assert index.runs().count() == 1

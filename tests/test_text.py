@@ -1,5 +1,8 @@
-import unicodedata
+import random
+import re
 import textwrap
+import time
+import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -251,3 +254,52 @@ def test_chunks_of_a_hundred_thousand_paragraphs(values):
     text = "\n\n".join("p" * (i % 7 + 1) if i % 1000 else "long" * 600 for i in range(100_000))
     (got,) = values([text], lambda c: chunking.chunks(c))
     assert got == packed(text, 1000, 150, "\n\n")
+
+
+def line_by_line(body):
+    """The sections again, with the fence carried from line to line."""
+    fence, name, found, text = "", None, {}, []
+
+    def close():
+        whole = "\n".join(text).strip()
+        if name and whole:
+            found[name] = whole
+
+    for line in body.split("\n"):
+        mark = re.match(r" {0,3}(`{3,}|~{3,})(.*)$", line)
+        head = re.match(r"\s{0,3}#{1,2}\s+(.+?)\s*$", line)
+        if fence:
+            if mark and mark[1].startswith(fence) and not mark[2].strip():
+                fence = ""
+        elif mark and not (mark[1][0] == "`" and "`" in mark[2]):
+            fence = mark[1]
+        elif head:
+            close()
+            name, text = {"Sintoma": "symptom", "Causa provável": "cause"}.get(head[1]), []
+            continue
+        text.append(line)
+    close()
+    return found
+
+
+def test_sections_as_line_by_line(values):
+    lines = [
+        "```", "````", "```sh", "``` a`b", "~~~", "~~~~", "~~~ x~y", "   ```", "    ```", "```  ", "``", " ~~~\t",
+        "## Sintoma", "# Causa provável", "## Outra", "##", "## ", "x", "", "  ", "### y",
+    ]
+    rng = random.Random(7)
+    bodies = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    assert split(values, bodies) == [line_by_line(b) for b in bodies]
+    assert sum(map(bool, map(line_by_line, bodies))) > 500
+
+
+def test_sections_take_time_in_proportion_to_headings(values):
+    def seconds(n):
+        body = "".join(f"## Causa {i}\nx\n```\n# y\n```\n" for i in range(n)) + "## Sintoma\nok"
+        start = time.monotonic()
+        assert split(values, [body]) == [{"symptom": "ok"}]
+        return time.monotonic() - start
+
+    seconds(10)
+    assert seconds(100_000) < 60  # an array grown by one heading at a time takes many minutes
+    assert split(values, ["## Sintoma\n```\n" + "x\n" * 1_000_000])[0]["symptom"].count("x") == 1_000_000
