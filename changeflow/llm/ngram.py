@@ -26,6 +26,7 @@ from changeflow.session import work_dir
 
 BATCH_CHARS = 8_000_000  # characters of texts that are counted or scored together
 SHARD_CHARS = 40_000_000  # characters of training text for one shard of the model
+NARROW = 1 << 32  # counts below this are stored in 32 bits; a shard with a greater one keeps all of its own in 64
 BEGIN, END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0xC6A4A7935BD1E995)  # the hashes of begin and end
 SCORED = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -161,7 +162,7 @@ def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     model = Model(work_dir(spark, "ngrams"), max(1, math.ceil(chars / SHARD_CHARS)))
-    folder, shards = model.folder, model.shards
+    folder, shards, narrow = model.folder, model.shards, NARROW
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         shard = int(rows["shard"].iloc[0])
@@ -176,7 +177,8 @@ def train(docs: DataFrame) -> Model:
         keys = pair_keys(first, second)
         order = np.argsort(keys)
         _save(folder, f"pair-{shard:07d}", keys[order])
-        _save(folder, f"count-{shard:07d}", n[order].astype("<u4"))
+        name, kind = ("count", "<u4") if n.max() < narrow else ("wide", "<i8")
+        _save(folder, f"{name}-{shard:07d}", n[order].astype(kind))
         (word,), (before, total) = _summed([second], [np.ones(len(second), np.int64), n])
         where = _shard(word, shards)
         out = []
@@ -251,7 +253,10 @@ class Arrays:
             if len(known):
                 place = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
                 hit = known[place] == keys[at]
-                out[at[hit]] = self._map(values, s, kind).reshape(-1, width)[place[hit]]
+                found = self._map(values, s, kind)
+                if not len(found):  # a shard with a count beyond 32 bits
+                    found = self._map("wide", s, "<i8")
+                out[at[hit]] = found.reshape(-1, width)[place[hit]]
         return out
 
     def score(self, texts: list[str | None]) -> list[np.ndarray]:

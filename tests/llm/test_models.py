@@ -2,6 +2,7 @@
 
 import io
 import math
+import os
 import struct
 from collections import Counter, defaultdict
 
@@ -86,7 +87,9 @@ class Loop:
         return max(own[w] - self.dp[min(own[w], 3)], 0) / size + back * low
 
 
-def test_language_model_against_dictionaries(spark, monkeypatch):
+@pytest.mark.parametrize("narrow", [ngram.NARROW, 12])  # with 12 some shards need wide counts and some do not
+def test_language_model_against_dictionaries(spark, monkeypatch, narrow):
+    monkeypatch.setattr(ngram, "NARROW", narrow)
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(list("abcdefghij"), rng.integers(0, 30), p=np.arange(1, 11) / 55)) for _ in range(60)]
     texts += [None, "", "A  b\tC", "unseen words here a b"]
@@ -94,6 +97,8 @@ def test_language_model_against_dictionaries(spark, monkeypatch):
     monkeypatch.setattr(ngram, "SHARD_CHARS", 500)
     model = ngram.train(docs.filter("doc_id < 62"))
     assert model.shards > 1
+    wide = [f for f in os.listdir(model.folder) if f.startswith("wide-")]
+    assert bool(wide) == (narrow == 12)
     loop = Loop(texts[:62])
     n, v = sum(loop.count.values()), len(loop.count)
     for r in ngram.score(docs, model).collect():
