@@ -23,7 +23,13 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 
 _RULE_PHRASES = (
     "javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|"
-    "sign in|log in|click here|read more|subscribe|share this|back to top|lorem ipsum"
+    "sign in|log in|click here|read more|subscribe|share this|back to top|lorem ipsum|"
+    "datenschutzerklärung|nutzungsbedingungen|alle rechte vorbehalten|hier klicken|weiterlesen|"
+    "nach oben|newsletter abonnieren|impressum|"
+    "politique de confidentialité|conditions d''utilisation|tous droits réservés|cliquez ici|lire la suite|"
+    "haut de page|s''abonner|mentions légales|"
+    "política de privacidad|política de cookies|términos de uso|todos los derechos reservados|"
+    "haga clic aquí|leer más|iniciar sesión|aviso legal"
 )
 _SPACE = r"[\x20\x09-\x0D]"
 
@@ -55,7 +61,7 @@ counted AS (SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(arr
             FROM words LEFT JOIN repeats USING (doc_id) LEFT JOIN passed USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND good >= 0.3 * word_chars AS kept
+       NOT base_failed AND good >= 0.75 * word_chars AS kept
 FROM judged
 """
 

@@ -131,6 +131,19 @@ def test_rules_on_edge_cases(spark):
     assert got[10]["n_repeat_words"] == got[10]["n_words"] == 30000 and got[10]["base_failed"]
     clash = spark.createDataFrame([(1, good, "mine", 5)], DOCS + ", kept string, n_words int")
     assert rules.clean(clash).first()["kept"] is True and rules.clean(clash.limit(0)).count() == 0
+    steps = spark.createDataFrame([(1, good, "w", 2, "t", 4)], DOCS + ", _words string, _left int, _text string, _0 int")
+    row = rules.clean(steps).first()
+    assert (row["doc_id"], row["text"], row["_words"], row["_left"], row["_text"], row["_0"]) == (1, good, "w", 2, "t", 4)
+    assert row["kept"] and row["clean_text"] == good
+
+
+def test_furniture_in_four_languages(spark):
+    prose = "Une phrase de prose assez longue pour parler d'un impressum"
+    rows = [(1, "Alle Rechte vorbehalten 2020"), (2, "Lire la suite..."), (3, "TODOS LOS DERECHOS RESERVADOS"), (4, "Sign in")]
+    rows += [(5, prose + " mot" * 20), (6, "Ein Satz ohne alles.")]
+    got = {r["doc_id"]: r["clean_text"] for r in rules.clean(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[i] for i in range(1, 5)] == [""] * 4
+    assert got[5] == rows[4][1] and got[6] == rows[5][1]
 
 
 def test_repeated_words_against_a_loop(spark):
