@@ -317,7 +317,7 @@ def _files(spark, sf):
     for folder, family in FAMILIES.items():
         rows = _raw(spark, sf, family).select(F.substring_index("path", "/", -2).alias("name"), F.col("content").alias("value"))
         broken = spark.range(1).select(F.lit("broken").alias("name"), F.unhex(F.lit("C328FF")).cast("string").alias("value"))
-        rows.unionByName(broken).write.partitionBy("name").text(f"{root}/{folder}")
+        docs.write_texts(rows.unionByName(broken), f"{root}/{folder}", "name", "value")
     return root
 
 
@@ -330,7 +330,7 @@ def scan_reports(spark, sf):
     found = docs.scan_texts(spark, _files(spark, sf), [g for folder in FAMILIES for g in _globs(folder)])
     return found.select(
         F.substring_index("path", "/", 1).alias("family"),
-        F.url_decode(F.regexp_extract("path", "/name=([^/]*)/", 1)).alias("name"),
+        F.url_decode(F.regexp_extract("path", r"/name=([^/]*)\.txt$", 1)).alias("name"),
         "readable",
         F.md5("content").alias("digest"),
     )

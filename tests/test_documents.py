@@ -287,6 +287,19 @@ def test_chunk_points(spark):
     assert rows[1]["point_id"] == str(uuid.uuid5(uuid.NAMESPACE_URL, "d/x.md#1"))
 
 
+def test_texts_are_written_by_many_tasks_one_file_each(spark, tmp_path, monkeypatch):
+    """Before, the one task of a small table made a folder for every text."""
+    monkeypatch.setattr(docs, "FILES_A_TASK", 3)
+    rows = [(f"Alert/{i}+ä %.md", f"text {i}") for i in range(10)] + [("twice", "a"), ("twice", "b"), (None, None)]
+    docs.write_texts(spark.createDataFrame(rows, "name string, value string").coalesce(1), f"{tmp_path}/out", "name", "value")
+    assert len(list((tmp_path / "out").iterdir())) == 5
+    found = docs.scan_texts(spark, str(tmp_path), ["out/**/*.txt"])
+    name = F.url_decode(F.regexp_extract("path", r"/name=([^/]*)\.txt$", 1))
+    got = sorted((r["n"], r["content"]) for r in found.select(name.alias("n"), "content").collect())
+    want = [(n, f"{v}\n") for n, v in rows[:10]] + [("twice", "a\nb\n"), (docs.NO_NAME, "\n")]
+    assert got == sorted(want)
+
+
 def test_package_imports_without_a_session():
     import subprocess
     import sys
