@@ -128,7 +128,7 @@ def _decompositions() -> tuple[dict[str, str], dict[str, str]]:
 
 _ONE, _SEVERAL = _decompositions()
 _HANGUL = (0x1100, 0x1161, 0x11A7)  # first jamo of each kind; syllables are composed of them by rule
-_SEVERAL_CLASS = "[" + "".join(rf"\x{{{ord(c):X}}}" for c in _SEVERAL) + r"\x{AC00}-\x{D7A3}]"
+_SYLLABLE = r"[\x{AC00}-\x{D7A3}]"
 
 
 def _syllable(char: Column) -> Column:
@@ -163,12 +163,21 @@ def _singles() -> tuple[str, str]:
 
 def without_accents(text: Column) -> Column:
     """Compatibility decomposition without marks: accents go, ligatures and styled letters become plain ones."""
+
+    def mapped(value: Column) -> Column:
+        return F.translate(value, *_singles())
+
+    def whole(unmarked: Column, plain: Column) -> Column:
+        # By look-ups: a class of so many characters would be tried one by one at each character.
+        several = text.rlike(_SYLLABLE) | (F.translate(text, "".join(_SEVERAL), "") != text)
+        # A character of several letters is in no map of single ones, so it is still there: ASCII is done.
+        done = F.length(plain) == F.octet_length(plain)
+        return F.when(done, plain).when(several, mapped(_expanded(unmarked))).otherwise(plain)
+
     # Most headings are ASCII, and hardly any needs more than a character map.
-    mapped = F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), *_singles())
-    return (
-        F.when(F.length(text) == F.octet_length(text), text)
-        .when(text.rlike(_SEVERAL_CLASS), F.translate(_expanded(F.regexp_replace(text, r"\p{Mn}+", "")), *_singles()))
-        .otherwise(mapped)
+    unmarked = F.regexp_replace(text, r"\p{Mn}+", "")
+    return F.when(F.length(text) == F.octet_length(text), text).otherwise(
+        let(unmarked, lambda u: let(mapped(u), lambda plain: whole(u, plain)))
     )
 
 

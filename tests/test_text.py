@@ -303,3 +303,12 @@ def test_sections_take_time_in_proportion_to_headings(values):
     seconds(10)
     assert seconds(100_000) < 60  # an array grown by one heading at a time takes many minutes
     assert split(values, ["## Sintoma\n```\n" + "x\n" * 1_000_000])[0]["symptom"].count("x") == 1_000_000
+
+
+def test_accents_are_looked_up(values):
+    """Before, a class of thousands of characters was tried one by one at every character of a heading."""
+    assert str(tx.without_accents(F.col("text"))).count(r"\x{") <= 2
+    chars = [*tx._ONE, *tx._SEVERAL, "\uac00", "\ud7a3", "Causa prov\u00e1vel", "e\u0301", "\ufb01 \u00e9", "\u4e2d \u00e9"]
+    texts = [f"a{c}b" for c in chars]
+    plain = ["".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x)) for t in texts]
+    assert values(texts, lambda c: tx.without_accents(F.col(c))) == plain
