@@ -6,6 +6,7 @@ need storage write below the shared folder, never into `sf_dir`.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -651,6 +652,13 @@ def call_attrs(spark, sf):
     return rows.select("dedup_key", F.explode("attributes").alias("attr", "value"))
 
 
+def _stored(frame, name):
+    """The rows written to the shared folder, for a plan that takes them up more than once."""
+    path = work_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _run(spark, sf):
     return cl.score(cl.select_reports(_reports(spark, sf), _existing(spark, sf)))
 
@@ -660,7 +668,8 @@ def classify_run(spark, sf):
 
 
 def conclusion_write(spark, sf):
-    written = cl.write_conclusions(_existing(spark, sf), _run(spark, sf))
+    """The artefacts after a run. Scores are stored and read back, as `jobs.classify` does, so none is made twice."""
+    written = cl.write_conclusions(_existing(spark, sf), _stored(_run(spark, sf), "scored"))
     return written.select("path", F.md5("content").alias("digest"))
 
 
