@@ -681,7 +681,7 @@ def classify_summary(spark, sf):
 def run_metrics(spark, sf):
     """Counts that two refreshes of the section index left in its run table."""
     index = ix.PointIndex(spark, work_dir(spark, "index"))
-    points = pt.points_sections(_enriched(spark, sf))
+    points = _stored(pt.points_sections(_enriched(spark, sf)), "points")
     index.refresh(points, "run-1", at(0))
     index.refresh(points.unionByName(points), "run-2", at(1))
     return index.runs().select("run_id", "points_in", "points")
