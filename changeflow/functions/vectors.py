@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from changeflow.functions.text import let
 
 DIM = 64
 
+# Texts that Python takes apart at a time; words whose bucket a task remembers, and the longest of them in bytes.
+SLICE = 512
+KNOWN_WORDS, KNOWN_BYTES = 200_000, 64
+
 # A factory called once per task; what it returns maps a list of texts to a
 # (len, dim) matrix. Loading a model belongs in the factory.
 Embedder = Callable[[], Callable[[list[str]], np.ndarray]]
@@ -34,21 +40,37 @@ def word_buckets(text: Column, dim: int = DIM) -> Column:
 def hashed_vectors(df: DataFrame, text: str = "text", into: str = "vector", dim: int = DIM) -> DataFrame:
     """Signed feature hashing of words, scaled to unit length (all zero if empty).
 
-    Hashing stays in the JVM; the task only counts, one matrix per batch.
+    The buckets are those of `word_buckets`. Most words come again and again, so a task keeps those it has hashed, as
+    many as `KNOWN_WORDS`; a slice of its texts at a time is taken apart, one matrix each.
     """
 
     @F.pandas_udf("array<float>")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[bytes, int] = {}
+
+        def bucket(word: bytes) -> int:
+            digest = int.from_bytes(hashlib.md5(word, usedforsecurity=False).digest()[:4], "big")
+            signed = ((digest >> 1) % dim + 1) * (1 if digest % 2 == 0 else -1)
+            if len(word) <= KNOWN_BYTES:
+                if len(known) >= KNOWN_WORDS:
+                    known.clear()
+                known[word] = signed
+            return signed
+
         for batch in batches:
-            sizes = batch.map(len).to_numpy()
-            flat = np.concatenate([*batch.to_numpy(), np.empty(0, np.int32)]).astype(np.int64)
-            cells = np.repeat(np.arange(len(batch)), sizes) * dim + np.abs(flat) - 1
-            matrix = np.bincount(cells, weights=np.sign(flat), minlength=len(batch) * dim).reshape(-1, dim)
-            norm = np.linalg.norm(matrix, axis=1, keepdims=True)
-            matrix = np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
-            yield pd.Series(list(matrix.astype(np.float32)))
+            for start in range(0, len(batch), SLICE):
+                # Bytes are split at ASCII white space, as \\s does.
+                words = [(t or b"").split() for t in batch.iloc[start : start + SLICE]]
+                n = len(words)
+                sizes = np.fromiter(map(len, words), np.int64, n)
+                flat = np.fromiter((known.get(w) or bucket(w) for ws in words for w in ws), np.int64, int(sizes.sum()))
+                cells = np.repeat(np.arange(n), sizes) * dim + np.abs(flat) - 1
+                matrix = np.bincount(cells, weights=np.sign(flat), minlength=n * dim).reshape(-1, dim)
+                norm = np.linalg.norm(matrix, axis=1, keepdims=True)
+                matrix = np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
+                yield pd.Series(list(matrix.astype(np.float32)))
 
-    return df.withColumn(into, counted(word_buckets(F.col(text), dim)))
+    return df.withColumn(into, counted(F.lower(F.col(text)).cast("binary")))
 
 
 def with_vectors(
@@ -58,12 +80,14 @@ def with_vectors(
     if embed is None:
         return hashed_vectors(df, text, into, dim)
 
-    @F.pandas_udf("array<float>")
-    def embedded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = embed()
+    @F.arrow_udf("array<float>")
+    def embedded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model, step = embed(), batch * max(1, SLICE // batch)
         for texts in batches:
-            values = texts.tolist()
-            parts = [np.asarray(model(values[i : i + batch]), np.float32) for i in range(0, len(values), batch)]
-            yield pd.Series([row for part in parts for row in part])
+            # Python holds the texts and vectors of a slice only, however many rows the batch has.
+            for start in range(0, len(texts), step):
+                values = texts.slice(start, step).to_pylist()
+                parts = [np.asarray(model(values[i : i + batch]), np.float32) for i in range(0, len(values), batch)]
+                yield pa.array([row for part in parts for row in part], pa.list_(pa.float32()))
 
     return df.withColumn(into, embedded(F.col(text)))
