@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ from changeflow.operators.artefacts import (
 )
 from changeflow.operators.index import upsert
 
+SLICE = 512  # reports that a hook's task takes up at a time
 FIELDS = ["outcome", "verdict", "confidence", "reason", "rationale"]
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -133,33 +134,33 @@ def batch_scorer(
         return None
 
     def score(reports: DataFrame) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["dedup_key", "path", "body", *FIELDS, "error"]
+        step = batch * max(1, SLICE // batch)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ask = factory()
-            for frame in batches:
-                bodies = frame["body"].tolist()
+            # A slice at a time: Python holds its bodies and answers only, however many rows a batch has.
+            for part in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
+                bodies = part.column(2).to_pylist()
                 answers: list[dict] = [{} for _ in bodies]
                 errors: list[str | None] = ["not scored"] * len(bodies)
                 for _ in range(retries + 1):
                     todo = [i for i, e in enumerate(errors) if e is not None]
                     for start in range(0, len(todo), batch):
-                        part = todo[start : start + batch]
+                        asked = todo[start : start + batch]
                         try:
-                            got = ask([bodies[i] for i in part])
+                            got = ask([bodies[i] for i in asked])
                         except Exception as e:  # one bad call must not fail the others
-                            got, reason = [{}] * len(part), f"call failed: {e}"
+                            got, reason = [{}] * len(asked), f"call failed: {e}"
                         else:
                             reason = None
-                        for i, fields in zip(part, got):
+                        for i, fields in zip(asked, got):
                             answers[i], errors[i] = fields, reason or problem(fields)
-                for name in FIELDS:
-                    frame[name] = [a.get(name) if e is None else None for a, e in zip(answers, errors)]
-                frame["error"] = errors
-                yield frame
+                told = [[a.get(name) if e is None else None for a, e in zip(answers, errors)] for name in FIELDS]
+                yield pa.record_batch([*part.columns, *(pa.array(c, pa.string()) for c in (*told, errors))], names)
 
         slim = reports.select("dedup_key", "path", "body")
-        scored = slim.mapInPandas(
-            run, ", ".join(f"{c} string" for c in ["dedup_key", "path", "body", *FIELDS, "error"])
-        )
+        scored = slim.mapInArrow(run, ", ".join(f"{c} string" for c in names))
         return scored
 
     return score

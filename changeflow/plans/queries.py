@@ -628,8 +628,11 @@ def _client():
     def ask(bodies):
         (body,) = bodies
         kind = len(body) % 5
-        first = body not in asked
-        asked.add(body)
+        first = False
+        if kind == 2:  # the digests of these alone are kept, no body
+            digest = hashlib.md5(body.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+            first = digest not in asked
+            asked.add(digest)
         if kind == 0 or (kind == 2 and first):
             raise OSError("busy")
         outcome = "maybe" if kind == 1 else cl.DIAGNOSED if kind < 4 else cl.INCONCLUSIVE

@@ -1,18 +1,21 @@
 """Vectors, index, search, classification, costs."""
 
 import os
+import sys
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from changeflow.functions import vectors
 from changeflow.functions.vectors import with_vectors
 from changeflow.operators import artefacts as ar
 from changeflow.operators import classify as cl
 from changeflow.operators import costs
 from changeflow.operators import index as ix
 from changeflow.operators import reports as rp
+from changeflow.plans import queries
 from changeflow.session import work_dir
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -332,3 +335,66 @@ def test_an_empty_source_is_refused_before_embedding(spark):
     with pytest.raises(ix.EmptySource):
         index.refresh(some.drop("vector").filter("false"), "r2", T0 + timedelta(hours=1), embed=never)
     assert index.runs().count() == 1
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hashed_words_are_those_of_the_buckets(spark):
+    """Before, every word went through five JVM expressions; now a task hashes a word once."""
+    texts = ["a B a", "", "\u00c9t\u00e9 \x0b\tx\u00a0y " + "w" * 100, "one two " * 700]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    out = vectors.with_vectors(df, dim=16)
+    assert "md5" not in _plan(out)
+    for row in out.withColumn("b", vectors.word_buckets(F.col("text"), 16)).collect():
+        want = np.bincount(np.abs(row["b"]).astype(int), np.sign(row["b"]), 17)[1:]
+        norm = np.linalg.norm(want) or 1
+        assert row["vector"] == pytest.approx(want / norm, abs=1e-6)
+
+
+def test_hooks_hold_a_slice_of_texts(spark):
+    """Before, a task turned all texts of an Arrow batch into Python's, with their vectors."""
+    df = spark.range(0, 3000, 1, 1).select(F.col("id").cast("string").alias("text"))
+
+    def model():
+        return lambda texts: [[len(sys._getframe(1).f_locals["values"]), int(t)] for t in texts]
+
+    rows = vectors.with_vectors(df, model).collect()
+    assert all(int(r["text"]) == r["vector"][1] for r in rows) and len(rows) == 3000
+    assert max(r["vector"][0] for r in rows) <= vectors.SLICE
+
+    def client():
+        def ask(bodies):
+            held = len(sys._getframe(1).f_locals["bodies"])
+            return [{"outcome": "inconclusive", "reason": f"{held} {b}", "rationale": "r"} for b in bodies]
+
+        return ask
+
+    reports = df.select(F.col("text").alias("dedup_key"), F.concat(F.lit("triage/"), "text").alias("path"), F.col("text").alias("body"))
+    told = cl.score(reports, cl.batch_scorer(client)).collect()
+    assert len(told) == 3000 and all(r["reason"].split()[1] == r["dedup_key"] for r in told)
+    assert max(int(r["reason"].split()[0]) for r in told) <= cl.SLICE
+
+
+def test_the_client_of_the_query_keeps_no_bodies():
+    ask = queries._client()
+    with pytest.raises(OSError):
+        ask(["ab"])
+    ask(["ab"]), ask(["abc"])
+    (asked,) = [c.cell_contents for c in ask.__closure__]
+    assert [len(d) for d in asked] == [16]
+
+
+def test_reports_are_parsed_once(spark, sf_dir, monkeypatch):
+    """Before, both uses of the scores, and every use of the points, parsed all reports anew."""
+    assert "regexp_extract_all" not in _plan(queries.conclusion_write(spark, sf_dir))
+    seen, refresh = [], ix.PointIndex.refresh
+
+    def spy(self, points, *args):
+        seen.append(_plan(points))
+        return refresh(self, points, *args)
+
+    monkeypatch.setattr(ix.PointIndex, "refresh", spy)
+    queries.run_metrics(spark, sf_dir)
+    assert len(seen) == 2 and not any("regexp_extract_all" in p for p in seen)
