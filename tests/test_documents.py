@@ -300,6 +300,51 @@ def test_texts_are_written_by_many_tasks_one_file_each(spark, tmp_path, monkeypa
     assert got == sorted(want)
 
 
+def test_small_files_are_read_many_a_task(spark, tmp_path):
+    """Before, a file counted for 4 MB more than it has, so a task had 4 of these, and the driver held them all."""
+    for i in range(400):
+        write(tmp_path, f"triage/{'all' if i < 300 else i}/{i}.md", f"text {i}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        found = docs.scan_texts(spark, str(tmp_path), ["triage/**/*.md"])
+        assert found.rdd.getNumPartitions() == 4  # the cores: each may read 1000 such files
+        assert found.inputFiles() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [(f"triage/{'all' if i < 300 else i}/{i}.md", f"text {i}") for i in range(400)]
+    assert sorted((r["path"], r["content"]) for r in found.collect()) == sorted(want)
+
+
+def test_pieces_hold_every_file_once():
+    small = [(f"{i:04d}", 10) for i in range(2 * docs.FILES_A_PIECE + 1)]
+    assert [len(p) for p in docs._pieces(small)] == [docs.FILES_A_PIECE, docs.FILES_A_PIECE, 1]
+    large = [("a", docs.BYTES_A_PIECE * 3), ("b", 1), ("c", docs.BYTES_A_PIECE), ("d", 0)]
+    assert list(docs._pieces(large)) == [["a"], ["b"], ["c", "d"]]
+    assert list(docs._pieces([])) == []
+
+
+def test_both_readers_find_the_same_files(spark, tmp_path):
+    for name in (".a", "_a", "_a=b", "_metadata", "_metadata_x", "_common_metadata", "a._COPYING_", "é ü%20+", "A", "a b"):
+        write(tmp_path, f"triage/{name}.md", name)
+        write(tmp_path, f"triage/{name}/deep/x.md", name)
+    write(tmp_path, "triage/x.md._COPYING_", "no")
+    write(tmp_path, "triage/empty.md", "")
+    write(tmp_path, "triage/none/x.txt", "no")
+    write(tmp_path, "linked/y.md", "y")
+    write(tmp_path, "triage/large.md", "x" * ((docs.BYTES_A_PIECE + 1)))
+    (tmp_path / "triage/link").symlink_to(tmp_path / "linked")
+    base = docs.qualified(spark, str(tmp_path))
+    for globs in (["triage/**/*.md"], ["**/*"], ["triage/*.md", "linked/?.md"], ["triage/**/*.md", "triage/**/*.txt"], ["triage/none/*.md"]):
+        folders = [f"{base}/{f}".rstrip("/") for f in docs._folders(globs)]
+        one, other = (
+            sorted((r["path"], bytes(r["content"])) for r in read(spark, base, folders, globs).collect())
+            for read in (docs._read_by_tasks, docs._read_by_spark)
+        )
+        assert one == other
+        assert bool(one) == (globs != ["triage/none/*.md"])
+
+
 def test_package_imports_without_a_session():
     import subprocess
     import sys
