@@ -11,6 +11,7 @@ no shuffle. Two rules hold throughout:
 from __future__ import annotations
 
 import functools
+import operator
 import re
 import sys
 import unicodedata
@@ -23,7 +24,8 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Separators besides the line feed that can end a text line. None of them
 # occurs inside a line, which makes ENTRY_MARK safe as a joiner for lines.
-RARE_BREAK = "[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+RARE_BREAK = f"[{RARE_BREAKS}]"
 ENTRY_MARK = "\x1e"
 
 QUOTE, BACKSLASH = '"', "\\"
@@ -61,13 +63,17 @@ def lstrip(text: Column) -> Column:
 
 
 def plain_breaks(text: Column) -> Column:
-    """The text with a line feed for every kind of line break."""
+    """The text with a line feed for every kind of line break.
+
+    Bytes are searched for each break first: a pattern would decode the whole text and try its class at every character.
+    """
     rare = F.regexp_replace(text, f"\r\n|{RARE_BREAK}", "\n")
-    return F.when(text.rlike(RARE_BREAK), rare).otherwise(text)
+    found = functools.reduce(operator.or_, [F.contains(text, F.lit(b)) for b in RARE_BREAKS])
+    return F.when(found, rare).otherwise(text)
 
 
 def normalise_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 def split_literal(text: Column, separator: str) -> Column:

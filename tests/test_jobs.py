@@ -126,3 +126,21 @@ def test_call_attributes_meet_by_path(spark):
     rows = [(f"triage/{i}.md", "---\ndedup_key: same\nnamespace: n\n---\n## Causa\nx") for i in range(20)]
     reports = rp.reports(spark.createDataFrame(rows, "path string, content string"))
     assert jobs.call_attributes(reports, cl.score(reports), costs.trace_attributes("r1")).count() == 20
+
+
+def test_small_files_of_all_families_are_read_many_a_task(spark, tmp_path):
+    """Before, tasks grew with the files, four or fewer a task where partitions are of 16 MB."""
+    for i in range(100):
+        for family, field in (("triage", "namespace: n"), ("conclusions", "outcome: inconclusive\nreason: r"), ("confirmations", "confirmation: refuted")):
+            target = tmp_path / family / "ns" / f"{i}.md"
+            target.parent.mkdir(parents=True, exist_ok=True)
+            target.write_bytes(f"---\r\ndedup_key: k{i}\n{field}\n---\n# body\n".encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        for globs in (docs.REPORT_GLOBS, docs.CONCLUSION_GLOBS, docs.CONFIRMATION_GLOBS):
+            assert jobs.texts(spark, str(tmp_path), globs).rdd.getNumPartitions() <= 4
+        rows = jobs.enriched_reports(spark, str(tmp_path), "run").select("dedup_key", "body", "metadata.outcome", "metadata.confirmation").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, rows)) == sorted((f"k{i}", "# body", "inconclusive", "refuted") for i in range(100))

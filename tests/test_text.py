@@ -312,3 +312,10 @@ def test_accents_are_looked_up(values):
     texts = [f"a{c}b" for c in chars]
     plain = ["".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x)) for t in texts]
     assert values(texts, lambda c: tx.without_accents(F.col(c))) == plain
+
+
+def test_line_breaks_of_every_kind(values):
+    texts = ["", "a\nb", "a\r\nb\rc", "\r\r\n\n", None, *(f"é{b}x\r\n{b}{b}" for b in tx.RARE_BREAKS)]
+    plain = [t and re.sub(f"\r\n|[{tx.RARE_BREAKS}]", "\n", t) for t in texts]
+    assert values(texts, lambda c: tx.plain_breaks(F.col(c))) == plain
+    assert values(texts, lambda c: tx.normalise_newlines(F.col(c))) == [t and re.sub("\r\n?", "\n", t) for t in texts]
